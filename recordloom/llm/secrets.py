@@ -12,11 +12,12 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: Kind, pattern, group whose length counts, least length. Leftmost, non-overlapping; shorter matches are dropped.
+#: Kind, pattern, group whose length counts, least length. Leftmost, non-overlapping; shorter matches are dropped. For access and
+#: hex the least length stands in the pattern: what is left of a run is shorter than the run, so the matches are the same.
 KINDS = (
     ("assign", r"""(?i)(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", 2, 6),
-    ("access", r"AKIA[A-Z0-9]+", 0, 20),
-    ("hex", r"[0-9a-f]+", 0, 24),
+    ("access", r"AKIA[A-Z0-9]{16,}", 0, 20),
+    ("hex", r"[0-9a-f]{24,}", 0, 24),
 )
 WINDOW = 20
 CANDIDATE = r"[A-Za-z0-9+/_=-]{%d,}" % WINDOW
