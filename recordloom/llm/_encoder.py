@@ -5,9 +5,11 @@ from __future__ import annotations
 import functools
 import json
 import os
-from itertools import chain
+from itertools import chain, repeat
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 
 def _by_word(spec: dict) -> bool:
@@ -19,25 +21,17 @@ def _by_word(spec: dict) -> bool:
     return bool(drops and plain and not spec.get("post_processor") and not any(set(a["content"]) & set(" \n\t\r") or a["lstrip"] or a["rstrip"] or a["single_word"] for a in spec.get("added_tokens", [])))
 
 
-class _Places(dict):
-    """Gives each new key the next number, and keeps the new keys."""
-
-    def __init__(self):
-        self.new: list[str] = []
-
-    def __missing__(self, key: str) -> int:
-        k = self[key] = len(self)
-        self.new.append(key)
-        return k
-
-
 class Encoder:
-    """encode(texts): the ids of all texts in a row, and each text's number of ids. Holds about max_words words."""
+    """encode(texts): the ids of all texts in a row, and each text's number of ids. Holds about max_words words.
+
+    texts is an Arrow array of strings; it is split, and its different words are found, by Arrow. Words that a call has twice
+    are held for later calls, the others only meanwhile.
+    """
 
-    #: Words of letters that are encoded in one go; a comma or full stop after a letter is a token of its own.
-    JOINED, ENDS = 64, (",", ".")
+    #: Words that are encoded in one go; a comma or full stop after a letter is a piece of its own.
+    JOINED, ENDS = 128, ".,"
 
-    def __init__(self, path: str, max_words: int = 600_000):
+    def __init__(self, path: str, max_words: int = 250_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -50,86 +44,86 @@ class Encoder:
             vocabulary = self.tokenizer.get_vocab()
             self.last = np.zeros(max(vocabulary.values()) + 1, bool)
             self.last[[i for w, i in vocabulary.items() if last and w.endswith(last)]] = True
-            self.end_ids = {c: self._whole([c])[0] for c in self.ENDS}
         self._clear()
 
     def _clear(self) -> None:
-        self.at, self.bases = _Places(), {}
+        self.at: dict[str, int] = {}
         self.pool, self.start, self.length = np.empty(1 << 16, np.int32), np.empty(1 << 16, np.int64), np.empty(1 << 16, np.int64)
-        self.used = 0
+        self.used = self.filled = 0
 
     def _whole(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _letters(self, words: list[str]) -> list[list[int]]:
-        """Of words of letters only: each is one piece, so its ids end with the first that ends a word."""
-        groups = [words[i : i + self.JOINED] for i in range(0, len(words), self.JOINED)]
-        out = []
-        for group, ids in zip(groups, self._whole([" ".join(g) for g in groups])):
-            cuts = (np.flatnonzero(self.last[ids]) + 1).tolist()
-            if len(cuts) == len(group) and cuts[-1] == len(ids):
-                out += [ids[a:z] for a, z in zip([0, *cuts], cuts)]
-            else:
-                out += self._whole(group)
-        return out
-
-    def _learn(self) -> None:
-        """Encodes the new words. A capital first letter and a last comma or full stop after a letter are split off first."""
-        new, self.at.new = self.at.new, []
-        if not new:
-            return
-        bases, ends = [], []
-        for w in new:
-            end = w[-1:] if w[-1:] in self.ENDS and w[-2:-1].isalpha() else ""
-            w = w[:-1] if end else w
-            first = w[:1]
-            bases.append(first.lower() + w[1:] if first.isascii() else w)
-            ends.append(end)
-        known = self.bases
-        odd = list(dict.fromkeys(b for b in bases if b not in known))
-        plain = [b for b in odd if b.isalpha()]
-        known.update(zip(plain, self._letters(plain)))
-        rest = [b for b in odd if not b.isalpha()]
-        known.update(zip(rest, self._whole(rest)))
-        ids = [known[b] + self.end_ids[e] if e else known[b] for b, e in zip(bases, ends)]
-        n = np.fromiter(map(len, ids), np.int64, len(ids))
-        flat = np.fromiter(chain.from_iterable(ids), np.int32, int(n.sum()))
-        first = len(self.at) - len(new)
-        while len(self.start) < len(self.at):
+    def _add(self, places: list[int], flat: np.ndarray, n: np.ndarray) -> None:
+        while len(self.start) < self.filled:
             self.start, self.length = np.resize(self.start, 2 * len(self.start)), np.resize(self.length, 2 * len(self.length))
         while len(self.pool) < self.used + len(flat):
             self.pool = np.resize(self.pool, 2 * len(self.pool))
-        self.start[first : len(self.at)] = self.used + np.cumsum(n) - n
-        self.length[first : len(self.at)] = n
+        self.start[places], self.length[places] = self.used + np.cumsum(n) - n, n
         self.pool[self.used : self.used + len(flat)] = flat
         self.used += len(flat)
-        if len(known) > self.max_words // 4:
-            self.bases = {}
 
-    def _words(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+    def _learn(self, new: list[str]) -> None:
+        """Encodes new words, as the next ones of start and length. Words of letters are one piece, with a comma or full stop behind them two, so that many can
+        be encoded as one text: the tokens that end a piece tell where each word's ids end."""
+        first, odd = self.filled, []
+        self.filled += len(new)
+        pieces = [1 if w.isalpha() else 2 if w[-1:] in self.ENDS and w[:-1].isalpha() else 0 for w in new]
+        plain = [i for i, n in enumerate(pieces) if n]
+        groups = [plain[i : i + self.JOINED] for i in range(0, len(plain), self.JOINED)]
+        for group, ids in zip(groups, self._whole([" ".join([new[i] for i in g]) for g in groups])):
+            ids = np.array(ids, np.int32)
+            ends = np.flatnonzero(self.last[ids]) + 1
+            each = np.cumsum([pieces[i] for i in group])
+            if len(ends) == each[-1] and ends[-1] == len(ids):
+                ends = ends[each - 1]
+                self._add([first + i for i in group], ids, np.diff(ends, prepend=0))
+            else:
+                odd += group
+        odd += [i for i, n in enumerate(pieces) if not n]
+        if odd:
+            ids = self._whole([new[i] for i in odd])
+            n = np.fromiter(map(len, ids), np.int64, len(ids))
+            self._add([first + i for i in odd], np.fromiter(chain.from_iterable(ids), np.int32, int(n.sum())), n)
+
+    def _take(self, different: list[str], places: np.ndarray, at: np.ndarray, held: bool) -> None:
+        own = [different[i] for i in at.tolist()]
+        places[at] = self.filled + np.arange(len(own))
+        if held:
+            self.at.update(zip(own, range(self.filled, self.filled + len(own))))
+        if own:
+            self._learn(own)
+
+    def _words(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, tuple[int, int]]:
+        """The place of each word, each text's number of words, and what used and filled are to be afterwards."""
         if len(self.at) > self.max_words:
             self._clear()
-        split = [(t or "").replace("\n", " ").split(" ") for t in texts]
-        n = np.fromiter(map(len, split), np.int64, len(split))
-        places = np.fromiter(map(self.at.__getitem__, chain.from_iterable(split)), np.int64, int(n.sum()))
-        self._learn()
-        return places, n
-
-    def encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+        lists = pc.split_pattern(pc.replace_substring(pc.fill_null(texts, ""), "\n", " "), " ")
+        words = lists.flatten().dictionary_encode()
+        different, each = words.dictionary.to_pylist(), words.indices.to_numpy()
+        places = np.fromiter(map(self.at.get, different, repeat(-1)), np.int64, len(different))
+        new, once = places < 0, np.bincount(each, minlength=len(different)) == 1
+        self._take(different, places, np.flatnonzero(new & ~once), held=True)
+        after = self.used, self.filled
+        self._take(different, places, np.flatnonzero(new & once), held=False)
+        return places[each], pc.list_value_length(lists).to_numpy().astype(np.int64), after
+
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         if not self.by_word:
-            ids = self._whole([t or "" for t in texts])
+            ids = self._whole(pc.fill_null(texts, "").to_pylist())
             n = np.fromiter(map(len, ids), np.int64, len(ids))
             return np.fromiter(chain.from_iterable(ids), np.int32, int(n.sum())), n
-        k, words = self._words(texts)
+        k, words, after = self._words(texts)
         n = self.length[k]
         into = np.cumsum(n) - n
         flat = self.pool[np.repeat(self.start[k] - into, n) + np.arange(int(n.sum()))]
+        self.used, self.filled = after
         return flat, sums(n, words)
 
-    def count(self, texts: list[str | None]) -> np.ndarray:
+    def count(self, texts: pa.Array) -> np.ndarray:
         if not self.by_word:
             return self.encode(texts)[1]
-        k, words = self._words(texts)
+        k, words, (self.used, self.filled) = self._words(texts)
         return sums(self.length[k], words)
 
 

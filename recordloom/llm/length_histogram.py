@@ -22,8 +22,8 @@ def encoded_lengths(docs: DataFrame, tokenizer: str) -> DataFrame:
     def counted(batches):
         from recordloom.llm._encoder import encoder
 
-        for b in slices(batches):
-            yield pa.RecordBatch.from_arrays([pa.array(encoder(tokenizer).count(b.column("text").to_pylist()), pa.int64())], names=["n_tokens"])
+        for b in slices(batches, 16_000_000):
+            yield pa.RecordBatch.from_arrays([pa.array(encoder(tokenizer).count(b.column("text")), pa.int64())], names=["n_tokens"])
 
     return docs.select("text").mapInArrow(counted, "n_tokens long")
 

@@ -33,8 +33,8 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int = 1) ->
         from recordloom.llm._encoder import encoder
 
         own, pos = encoder(tokenizer), 0
-        for b in slices(batches):
-            flat, n = own.encode(b.column("text").to_pylist())
+        for b in slices(batches, 16_000_000):
+            flat, n = own.encode(b.column("text"))
             n = n.astype(np.int64)
             ends = np.cumsum(n + 1)
             ids = np.full(int(ends[-1]), end_id, np.int32)
