@@ -118,8 +118,11 @@ def latin(text: str) -> str:
     return "".join(out)
 
 
-@F.pandas_udf("string")
-def transliterate(text: pd.Series) -> pd.Series:
-    """Any script in Latin letters, without accents. Only rows of other scripts should get here."""
+def _to_latin(texts: pd.Series) -> pd.Series:
     fold = lambda t: unicodedata.normalize("NFC", "".join(c for c in unicodedata.normalize("NFKD", t) if not unicodedata.combining(c)))
-    return text.map(lambda t: None if t is None else fold(latin(t)))
+    return texts.map(lambda t: None if t is None else fold(latin(t)))
+
+
+def transliterate(column: str) -> Column:
+    """Any script in Latin letters, without accents. Only rows of other scripts should get here."""
+    return F.pandas_udf(_to_latin, "string")(column)

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from recordloom.functions import rules, text
 from recordloom.functions.similarity import scorer
 from recordloom.operators.normalize import by_country
+from recordloom.sources.artifacts import saved
 
 NAME, ADDRESS, HOUSE, COMBO, FUZZY = range(5)
 PASS_NAMES = {NAME: "name_token", ADDRESS: "addr_key", HOUSE: "house_num", COMBO: "name_street", FUZZY: "fuzzy"}
@@ -102,11 +103,11 @@ def pair_keys(top: DataFrame, cap: int) -> DataFrame:
 
 
 class Index:
-    """The statistics of a world's records that all passes use."""
+    """The statistics of a world's records that all passes use; each is written once."""
 
     def __init__(self, records: DataFrame, limits: Limits = Limits()):
         self.records, self.limits = records, limits
-        self.name, self.skeleton, self.address, self.house = (token_idf(records, c) for c in ("name_core", "name_skeleton", "addr_norm", "house_num"))
+        self.name, self.skeleton, self.address, self.house = (saved(token_idf(records, c), f"idf-{c}") for c in ("name_core", "name_skeleton", "addr_norm", "house_num"))
 
     def name_keys(self, own: DataFrame, always_skeleton: bool) -> DataFrame:
         cap = self.limits.name_cap
@@ -275,12 +276,15 @@ def cap_per_s1(pairs: DataFrame, most: int) -> DataFrame:
 def candidates(records: DataFrame, limits: Limits = Limits()) -> DataFrame:
     """s1_id, cand_id, country, block_mask, rank_in_cand, block_score, rank_score: the pairs that are left for a model."""
     index = Index(records, limits)
-    raw = index.passes()
-    merged = rank_scores(merge_passes(raw), records)
+    raw = saved(index.passes(), "hits")
+    merged = saved(rank_scores(merge_passes(raw), records), "merged")
     if limits.fuzzy:
         strong = merged.filter(F.col("rank_score") >= limits.fuzzy_min_score).select(F.col("cand_id").alias("entity_id")).distinct()
         weak = records.filter("source <> 1").join(strong, "entity_id", "left_anti")
         raw = raw.unionByName(index.run(FUZZY, weak).withColumn("bit", F.lit(FUZZY)))
-        merged = rank_scores(merge_passes(raw, {FUZZY: 1.0}), records)
+        again = merge_passes(raw, {FUZZY: 1.0})
+        known = again.join(merged.select("s1_id", "cand_id", "rank_score"), ["s1_id", "cand_id"], "left")
+        new = rank_scores(known.filter(F.col("rank_score").isNull()).drop("rank_score"), records)
+        merged = known.filter(F.col("rank_score").isNotNull()).unionByName(new)
     kept = cap_per_s1(rank_per_cand(merged, limits.k_per_query, limits.min_score), limits.max_cands)
     return kept.select("s1_id", "cand_id", "country", "block_mask", "rank_in_cand", "block_score", "rank_score")

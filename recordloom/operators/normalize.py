@@ -40,7 +40,9 @@ def legal_form(name: Column, country: Column) -> tuple[Column, Column]:
     def of(label: str) -> Column:
         forms = sorted(rules.merged(rules.LEGAL_FORMS, label).items(), key=lambda kv: -len(kv[0]))
         padded = F.concat(F.lit(" "), name, F.lit(" "))
-        found = F.filter(F.array(*(F.struct(F.locate(f" {f} ", padded).alias("at"), (F.locate(f" {f} ", padded) + len(f)).alias("until"), F.lit(c).alias("form")) for f, c in forms)), lambda m: m["at"] > 0)
+        table = F.array(*(F.struct(F.lit(f).alias("f"), F.lit(c).alias("form")) for f, c in forms))  # a constant
+        places = F.transform(table, lambda x: F.struct(F.position(F.concat(F.lit(" "), x["f"], F.lit(" ")), padded).alias("at"), F.char_length(x["f"]).alias("until"), x["form"].alias("form")))
+        found = F.transform(F.filter(places, lambda m: m["at"] > 0), lambda m: F.struct(m["at"].alias("at"), (m["at"] + m["until"]).alias("until"), m["form"].alias("form")))
         none = F.struct(F.lit(-1).alias("at"), F.lit(-1).alias("until"), F.lit("").alias("form"))
         better = lambda a, m: (a["form"] == "") | (m["until"] > a["until"]) | ((m["until"] == a["until"]) & (m["at"] < a["at"]))
         return F.aggregate(found, none, lambda a, m: F.when(better(a, m), m).otherwise(a))
