@@ -69,17 +69,17 @@ def jaro_winkler(a: str, b: str) -> float:
     if not a or not b:
         return 0.0
     reach = max(0, max(len(a), len(b)) // 2 - 1)
-    used, matched = [False] * len(b), []
-    for i, c in enumerate(a):
-        for j in range(max(0, i - reach), min(len(b), i + reach + 1)):
-            if not used[j] and b[j] == c:
-                used[j] = True
+    used, matched = [False] * len(a), []
+    for j, c in enumerate(b):
+        for i in range(max(0, j - reach), min(len(a), j + reach + 1)):
+            if not used[i] and a[i] == c:
+                used[i] = True
                 matched.append(c)
                 break
     m = len(matched)
     if not m:
         return 0.0
-    t = sum(x != y for x, y in zip(matched, (b[j] for j in range(len(b)) if used[j]))) / 2
+    t = sum(x != y for x, y in zip(matched, (a[i] for i in range(len(a)) if used[i]))) // 2
     jaro = (m / len(a) + m / len(b) + (m - t) / m) / 3
     prefix = 0
     for x, y in zip(a[:4], b[:4]):

@@ -38,7 +38,7 @@ def source_composition(s1: DataFrame, gt: DataFrame) -> DataFrame:
     """country, and S1 records without matches, with matches of source 2 only, of 3 only, of both."""
     own = gt.groupBy("s1_id").agg(F.bool_or(F.col("match_id").startswith("S2-")).alias("_2"), F.bool_or(F.col("match_id").startswith("S3-")).alias("_3"))
     kind = F.when(F.col("_2").isNull(), "none").when(F.col("_2") & F.col("_3"), "both").when(F.col("_2"), "s2").otherwise("s3")
-    return s1.join(own, "s1_id", "left").withColumn("k", kind).groupBy("country").pivot("k", ["none", "s2", "s3", "both"]).agg(F.count("*")).na.fill(0)
+    return s1.join(own, "s1_id", "left").withColumn("k", kind).groupBy("country").pivot("k", ["none", "s2", "s3", "both"]).agg(F.count("s1_id")).na.fill(0)
 
 
 def one_to_one(records: DataFrame, gt: DataFrame) -> DataFrame:
