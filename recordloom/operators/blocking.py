@@ -203,8 +203,8 @@ def fuzzy(s1: DataFrame, queries: DataFrame, limits: Limits) -> DataFrame:
     Trigrams in more than max(fuzzy_max_df, fuzzy_min_df / S1 records) of the S1 records are dropped."""
 
     def grams(rows: DataFrame) -> DataFrame:
-        word = F.explode(text.words(F.lower(fuzzy_text())))
-        rows = rows.select("country", "entity_id", F.concat(F.lit(" "), word, F.lit(" ")).alias("_w")).withColumn("_w", F.col("_w"))
+        rows = rows.select("country", "entity_id", F.explode(text.words(F.lower(fuzzy_text()))).alias("_w"))
+        rows = rows.withColumn("_w", F.concat(F.lit(" "), "_w", F.lit(" ")))
         rows = rows.select("country", "entity_id", F.explode(F.transform(F.sequence(F.lit(1), F.greatest(F.char_length("_w") - 2, F.lit(1))), lambda i: F.substr(F.col("_w"), i, F.lit(3)))).alias("gram"))
         return rows.groupBy("country", "entity_id", "gram").agg((1 + F.log(F.count("*"))).alias("tf"))
 

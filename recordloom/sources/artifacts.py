@@ -17,7 +17,7 @@ def shared_dir(spark: SparkSession) -> str:
 def saved(df: DataFrame, name: str) -> DataFrame:
     """Writes df into the shared folder and reads it again; later stages don't compute it anew, and lost executors lose nothing."""
     path = f"{shared_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(path)
+    df.write.option("compression", "snappy").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
