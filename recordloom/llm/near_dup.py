@@ -2,13 +2,11 @@
 
 A text's shingles are its runs of five words; a shingle weighs its count times the mean idf of its words. Document
 frequencies of words are counted over all documents, in DF_ROWS hashed rows, so the table has one size at every scale.
-SAMPLES consistent samples make BANDS bands. Inside the texts that share a band, a few are centres, and every other one is
-compared with them by the exact weighted Jaccard similarity; connected components of the links are classes.
+SAMPLES consistent samples make BANDS bands. Of the texts that share a band one is the centre, and the others are compared
+with it by the exact weighted Jaccard similarity; connected components of the links are classes.
 
-No link between texts of a band is lost, though most pairs are never formed: 1 - similarity is a metric. Texts that are
-linked to a centre leave the band; the rest choose new centres, until the rest is empty or of one class. A text that left
-can only be linked to one that stayed if their centre is within twice the distance of the latter: those few are compared
-at the end.
+No link between texts of a band is lost, though most pairs are never formed: bands whose texts aren't of one class after
+that go through an exact join by prefixes of their shingles, between classes only.
 
 A shingle's own document frequency would punish large groups of copies: the copies make their shingles frequent, only what
 differs stays rare and heavy, and near copies of a text with thousands of them would fall below the threshold.
@@ -21,7 +19,7 @@ import functools
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from recordloom.llm._common import ranked, saved, slices, words_of
@@ -29,7 +27,7 @@ from recordloom.llm._common import ranked, saved, slices, words_of
 SHINGLE, THRESHOLD = 5, 0.8
 BANDS, WIDTH = 16, 4
 SAMPLES = BANDS * WIDTH
-DF_ROWS = 1 << 16
+DF_ROWS, ORDER_ROWS = 1 << 16, 1 << 17
 #: Rows of random numbers for the sampling; a shingle's hash chooses its row.
 RANDOM_ROWS = 1 << 14
 ODD = np.uint64(0x9E3779B97F4A7C15)
@@ -170,42 +168,79 @@ def compared(pairs: DataFrame, texts: DataFrame, idf) -> DataFrame:
 
 
 def linked(members: DataFrame, texts: DataFrame, idf, threshold: float) -> DataFrame:
-    """a, b: the links that hold together what the bands' links hold together. members: key, node.
+    """a, b: links that hold together all that links between texts of a band hold together. members: key, node.
 
-    Centres are 1, then 8, 64, ... texts of a band, as long as what is left of it isn't of one class.
+    First each band's most crowded text is compared with the others: what copies with different changes were made from has
+    all their common bands, and so one comparison links each of them. Bands that then are of one class are done. Texts of the
+    others are joined exactly, by prefixes.
     """
-    rest, tested, n = members, None, 1
-    while True:
-        order = Window.partitionBy("key").orderBy("node")
-        centres = saved(rest.withColumn("i", F.row_number().over(order)).filter(F.col("i") <= n).select("key", F.col("node").alias("c")), "centres")
-        stars = rest.join(centres, "key").filter("node <> c")
-        pairs = stars.select(F.greatest("node", "c").alias("a"), F.least("node", "c").alias("b")).distinct()
-        pairs = pairs if tested is None else pairs.join(tested, ["a", "b"], "left_anti")
-        new = saved(compared(pairs, texts, idf), "compared")
-        tested = new if tested is None else tested.unionAll(new)
-        links = tested.filter(F.col("j") >= threshold).select("a", "b")
-        roots = components(links)
-        gone = stars.withColumns({"a": F.greatest("node", "c"), "b": F.least("node", "c")}).join(links, ["a", "b"], "left_semi").select("key", "node")
-        gone = gone.unionAll(centres.select("key", F.col("c").alias("node")))
-        left = rest.join(gone, ["key", "node"], "left_anti").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-        left = saved(left.select("key", "node", "root"), "left")
-        mixed_keys = left.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo < hi").select("key")
-        rest = saved(left.join(mixed_keys, "key", "left_semi").select("key", "node"), "rest")
-        if rest.isEmpty():
-            break
-        n *= 8
-    both = tested.unionAll(tested.select(F.col("b").alias("a"), F.col("a").alias("b"), "j"))
-    both = both.select(F.col("a").alias("c"), F.col("b").alias("y"), "j").filter(F.col("j") >= 2 * threshold - 1 - 1e-9)
-    root = lambda c: roots.select(F.col("node").alias(c), F.col("root").alias(f"root_{c}"))
-    near = both.filter(F.col("j") < threshold).join(root("c"), "c", "left").join(root("y"), "y", "left")
-    near = near.filter(F.coalesce("root_c", "c") != F.coalesce("root_y", "y")).select("c", "y", F.coalesce("root_y", "y").alias("root_y"), F.col("j").alias("j_y"))
-    close = both.filter(F.col("j") >= threshold).select("c", F.col("y").alias("x"), F.col("j").alias("j_x"))
-    last = near.join(close, "c").filter(F.col("j_x") <= F.col("j_y") + 1 - threshold + 1e-9)
-    pairs = last.select(F.greatest("x", "y").alias("a"), F.least("x", "y").alias("b")).distinct().join(tested, ["a", "b"], "left_anti")
+    sizes = members.groupBy("key").agg(F.count("*").alias("_n"))
+    crowd = members.join(sizes, "key").groupBy("node").agg(F.sum("_n").alias("crowd"))
+    rows = saved(members.join(crowd, "node"), "crowded")
+    centres = rows.groupBy("key").agg(F.max_by("node", F.struct("crowd", "node")).alias("c"))
+    stars = rows.join(centres, "key").filter("node <> c")
+    pairs = stars.select(F.greatest("node", "c").alias("a"), F.least("node", "c").alias("b")).distinct()
+    tested = saved(compared(pairs, texts, idf), "compared")
+    links = tested.filter(F.col("j") >= threshold).select("a", "b")
+    rows = members.join(components(links), "node", "left").withColumn("root", F.coalesce("root", "node"))
+    several = rows.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo < hi").select("key")
+    open_nodes = saved(rows.join(several, "key", "left_semi").select("node", "root").distinct(), "open")
+    pairs = across(open_nodes, texts, idf, threshold).join(tested, ["a", "b"], "left_anti")
     found = saved(compared(pairs, texts, idf), "compared").filter(F.col("j") >= threshold)
     return links.unionAll(found.select("a", "b"))
 
 
+def across(nodes: DataFrame, texts: DataFrame, idf, threshold: float) -> DataFrame:
+    """a, b: all pairs of different roots that can reach the threshold, and some that can't. nodes: node, root.
+
+    Texts whose similarity reaches t share at least t of either one's weight. With all shingles in one order, both then have
+    their first common shingle among their first ones, those before the last t of their weight. The order is by how often a
+    shingle occurs in these texts (counted in ORDER_ROWS hashed rows: where rows are shared, only time is lost) and then by
+    hash, so what changes made unique comes first and joins with nothing. From their first common shingle on, both texts must
+    have the weight that the threshold asks of what they share.
+    """
+
+    def counted(batches):
+        own, counts = idf.value, np.zeros(ORDER_ROWS, np.int64)
+        for b in slices(batches):
+            for t in b.column("text").to_pylist():
+                np.add.at(counts, (weighted(t, own)[0] & np.uint64(ORDER_ROWS - 1)).astype(np.int64), 1)
+        some = np.flatnonzero(counts)
+        yield pa.RecordBatch.from_arrays([pa.array(some, pa.int64()), pa.array(counts[some], pa.int64())], names=["row", "n"])
+
+    whole = saved(texts.join(nodes, "node"), "open-texts")
+    order = np.zeros(ORDER_ROWS, np.int64)
+    got = whole.select("text").mapInArrow(counted, "row long, n long").groupBy("row").agg(F.sum("n").alias("n")).toPandas()  # ORDER_ROWS rows at most
+    order[got["row"].to_numpy()] = got["n"].to_numpy()
+    sent = nodes.sparkSession.sparkContext.broadcast(order)
+
+    def prefixes(batches):
+        own, first = idf.value, sent.value
+        for b in slices(batches):
+            out, rest, total = [], [], []
+            for t in b.column("text").to_pylist():
+                s, w = weighted(t, own)
+                by = np.lexsort((s, first[(s & np.uint64(ORDER_ROWS - 1)).astype(np.int64)]))
+                left = w.sum() - np.cumsum(w[by]) + w[by]
+                n = int(np.count_nonzero(left >= threshold * w.sum() - 1e-6))
+                out.append(s[by[:n]])
+                rest.append(left[:n])
+                total.append(np.full(n, w.sum()))
+            n = [len(x) for x in out]
+            flat = np.concatenate([np.empty(0, np.uint64), *out]).view(np.int64)
+            at = pa.array(np.repeat(np.arange(len(n)), n))
+            yield pa.RecordBatch.from_arrays([pa.array(flat, pa.int64()), b.column("node").take(at), b.column("root").take(at), *(pa.array(np.concatenate([np.empty(0), *x]), pa.float64()) for x in (rest, total))], names=["shingle", "node", "root", "rest", "total"])
+
+    rows = saved(whole.select("node", "root", "text").mapInArrow(prefixes, "shingle long, node long, root long, rest double, total double"), "prefixes")
+    each = rows.groupBy("shingle", "root").agg(F.count("*").alias("n"))
+    main = each.groupBy("shingle").agg(F.max_by("root", F.struct("n", "root")).alias("_main"), F.count("*").alias("_roots")).filter("_roots > 1").select("shingle", "_main")
+    rows = rows.join(main, "shingle")
+    few = rows.filter("root <> _main").select("shingle", F.col("node").alias("x"), F.col("root").alias("_x"), F.col("rest").alias("_rest"), F.col("total").alias("_total"))
+    enough = F.least("rest", "_rest") >= threshold / (1 + threshold) * (F.col("total") + F.col("_total")) - 1e-6
+    pairs = few.join(rows, "shingle").filter(F.col("root") != F.col("_x")).filter(enough)
+    return pairs.select(F.greatest("node", "x").alias("a"), F.least("node", "x").alias("b")).distinct()
+
+
 def components(edges: DataFrame) -> DataFrame:
     """node, root (the least node of its component), by alternating large-star and small-star steps (Kiveris et al., 2014).
 
