@@ -1,7 +1,7 @@
 """Benchmark decontamination: rare n-gram seeds find places, Smith-Waterman alignment judges them.
 
 The benchmark is read in blocks of bounded size. For a block, all documents are first counted for every n-gram of its items;
-the rarest half of an item's n-grams, FEWEST at least, become its seeds. Where a seed occurs in a document, the passage
+an item's n-grams but its common phrases become its seeds. Where a seed occurs in a document, the passage
 around it is aligned with the whole item, word by word, so copies with words changed, added or left out score high too.
 Documents are never shuffled: what a task needs of the benchmark is broadcast, and its size is that of a block.
 """
@@ -21,7 +21,9 @@ from pyspark.sql import functions as F
 from recordloom.llm._common import slices
 
 WORD = re.compile(r"\w+")
-GRAM, FEWEST, MIN_WORDS = 3, 12, 5
+GRAM, MIN_WORDS = 3, 5
+#: An n-gram is a common phrase, and no seed, if it is in so many times the documents that the item's median n-gram is in.
+COMMON = 8
 MATCH, MISMATCH, GAP = 2, -1, 1
 #: The least score of an alignment, as a share of that of the item with itself.
 THRESHOLD = 0.5
@@ -92,12 +94,12 @@ class Index:
         return at[hit], g[hit]
 
     def choose(self, counts: np.ndarray) -> None:
-        """Seeds: of each item the rarest half of its n-grams, FEWEST at least; of equally rare ones, those spread by code."""
+        """Seeds: of each item the n-grams that aren't common phrases. They are judged against the item's own median, so an item
+        that a third of all documents hold keeps its seeds, and so do those that edited copies left intact."""
         self.seed[:] = False
         for _, x in self.items:
             g = np.unique(np.searchsorted(self.grams, self.codes(x)))
-            order = np.lexsort((self.grams[g] * 0x9E3779B1 % 65521, counts[g]))
-            self.seed[g[order[: max(FEWEST, (len(g) + 1) // 2)]]] = True
+            self.seed[g[counts[g] <= COMMON * max(1, np.median(counts[g]))]] = True
 
     def matches(self, text: str | None, threshold: float) -> list[tuple[int, float, int, int]]:
         """item_id, score, and the aligned passage's window [from, to) in words, for each item that reaches the threshold."""
