@@ -10,6 +10,7 @@ from __future__ import annotations
 import functools
 import re
 import zlib
+from array import array
 
 import numpy as np
 import pyarrow as pa
@@ -20,9 +21,9 @@ from recordloom.llm._common import slices
 
 WORD = re.compile(r"\w+")
 #: n-gram lengths, rows and width of the table, weight on the rows' squares, epochs, step size.
-NGRAMS, ROWS, WIDTH, DECAY, EPOCHS, STEP = (3, 4, 5, 6), 1 << 17, 8, 1e-6, 100, 0.05
+NGRAMS, ROWS, WIDTH, DECAY, EPOCHS, STEP = (3, 4, 5, 6), 1 << 18, 8, 1e-6, 100, 0.05
 #: The labelled rows that a model is fitted on: all of them, or the so many with the least hash of their id.
-MAX_ROWS = 6000
+MAX_ROWS = 5000
 THRESHOLD = 0.7
 #: Words without meaning that every text has besides its own: a short text's few words then decide less.
 PAD = 5
@@ -96,22 +97,35 @@ def fit(texts: list[str | None], labels: list[int], seed: int = 5, epochs: int =
     table = rng.uniform(-0.5, 0.5, (ROWS, WIDTH)).astype(np.float32) / WIDTH
     output, y = rng.normal(0, 0.5, (WIDTH, 2)).astype(np.float32), np.array(labels, np.int64)
     bias = np.log(np.maximum(np.bincount(y, minlength=2), 1) / max(len(y), 1)).astype(np.float32)
-    split = [tokens(t) for t in texts]
     places: dict[str, int] = {}
-    word = np.array([places.setdefault(w, len(places)) for x in split for w in x], np.int64)
-    lengths = np.array([len(x) for x in split])
-    if not len(word):
+    words, lengths = array("q"), []
+    for t in texts:
+        own = tokens(t)
+        words.extend(places.setdefault(w, len(places)) for w in own)
+        lengths.append(len(own))
+    if not words:
         return Model(table * 0, output, bias)
-    doc = np.repeat(np.arange(len(split)), lengths)
-    pair, counts = np.unique(doc * len(places) + word, return_counts=True)
-    doc, word = pair // len(places), pair % len(places)
+    lengths, n = np.array(lengths), len(places)
+    pair, counts = np.unique(np.repeat(np.arange(len(lengths)) * n, lengths) + np.frombuffer(words, np.int64), return_counts=True)
+    doc, word = pair // n, pair % n
     share = SCALE * counts / (lengths[doc] + PAD)
-    of, rows = subwords(list(places))
-    part = 1 / np.bincount(of, minlength=len(places))[of]
-    texts_of = np.bincount(word, minlength=len(places))
-    kept = np.bincount(rows, texts_of[of], ROWS)[rows] >= LEAST
-    of, part = of[kept], part[kept]
-    used, rows = np.unique(rows[kept], return_inverse=True)
+    texts_of = np.bincount(word, minlength=n)
+    different, seen = list(places), np.zeros(ROWS)
+    chunks = range(0, n, 50_000)  # all n-grams at once would take the memory of the driver
+    for i in chunks:
+        of, rows = subwords(different[i : i + 50_000])
+        seen += np.bincount(rows, texts_of[i + of], ROWS)
+    kept = []
+    for i in chunks:
+        of, rows = subwords(different[i : i + 50_000])
+        some = seen[rows] >= LEAST
+        kept.append((np.int32(i) + of[some].astype(np.int32), rows[some].astype(np.int32), (1 / np.bincount(of, minlength=1)[of][some]).astype(np.float32)))
+    of, rows, part = (np.concatenate(x) for x in zip(*kept))
+    del kept
+    used = np.flatnonzero(np.bincount(rows, minlength=ROWS))
+    number = np.zeros(ROWS, np.int32)
+    number[used] = np.arange(len(used))
+    rows = number[rows]
     e, moments, steps = table[used], {}, 0
     hot = np.eye(2)[y]
 
@@ -123,11 +137,11 @@ def fit(texts: list[str | None], labels: list[int], seed: int = 5, epochs: int =
 
     for steps in range(1, epochs + 1):
         z = e @ output
-        words = np.stack([np.bincount(of, z[rows, c] * part, len(places)) for c in (0, 1)], 1)
+        words = np.stack([np.bincount(of, z[rows, c] * part, n) for c in (0, 1)], 1)
         logits = np.stack([np.bincount(doc, words[word, c] * share, len(y)) for c in (0, 1)], 1) + bias
         p = np.exp(logits - logits.max(1, keepdims=True))
         d = (p / p.sum(1, keepdims=True) - hot) / len(y)
-        back = np.stack([np.bincount(word, d[doc, c] * share, len(places)) for c in (0, 1)], 1)
+        back = np.stack([np.bincount(word, d[doc, c] * share, n) for c in (0, 1)], 1)
         g = np.stack([np.bincount(rows, back[of, c] * part, len(used)) for c in (0, 1)], 1).astype(np.float32)
         ge, go = g @ output.T + DECAY * e, e.T @ g
         adam("e", e, ge)
