@@ -275,3 +275,53 @@ ORACLE_SQL: dict[str, str] = {
     "eda_pair_noise": sql(RT, f"SELECT country, {_house_rel} AS hn_rel, count(*) AS pairs, round(avg(ne::INT), 9) AS name_equal, round(avg(ae::INT), 9) AS addr_equal, round(avg(share), 9) AS token_share FROM (SELECT a.country, regexp_replace(a.house_num, '^0+', '') AS x, regexp_replace(b.house_num, '^0+', '') AS y, a.name_raw = b.name_raw AS ne, a.addr_raw = b.addr_raw AS ae, len(list_intersect({once('a.name_core')}, {once('b.name_core')})) / nullif(len(list_distinct(list_concat({once('a.name_core')}, {once('b.name_core')}))), 0) AS share FROM truth t JOIN rec a ON a.entity_id = t.s1_id JOIN rec b ON b.entity_id = t.match_id) GROUP BY ALL"),
     "eda_nn_scan": sql([*RT, f"tk AS (SELECT source, country, entity_id, len({once('name_core')}) AS n, unnest({once('name_core')}) AS token FROM rec)"], "SELECT cand_id, s1_id, similarity FROM (SELECT b.entity_id AS cand_id, a.entity_id AS s1_id, round(count(*) / (any_value(a.n) + any_value(b.n) - count(*)), 9) AS similarity FROM tk b JOIN tk a ON a.country = b.country AND a.token = b.token WHERE b.source <> 1 AND a.source = 1 GROUP BY 1, 2) x WHERE NOT EXISTS (SELECT 1 FROM truth t WHERE t.s1_id = x.s1_id AND t.match_id = x.cand_id) QUALIFY row_number() OVER (PARTITION BY cand_id ORDER BY similarity DESC, s1_id) = 1"),
 }
+
+
+def ratio(a: str, b: str) -> str:
+    """SQL for the ratio of two columns of at most 120 characters: the longest common subsequence from one whole number's bits."""
+    ones = f"((1::HUGEINT << length({a})) - 1)"
+    masks = f"list_transform(string_split({b}, ''), lambda zc: coalesce(list_sum(list_transform(range(length({a})), lambda zi: CASE WHEN substr({a}, (zi + 1)::INT, 1) = zc THEN 1::HUGEINT << zi::INT ELSE 0::HUGEINT END)), 0)::HUGEINT)"
+    left = f"bit_count(list_reduce(list_prepend({ones}, {masks}), lambda zs, zx: ((zs + (zs & zx)) | (zs - (zs & zx))) & {ones}))"
+    return f"CASE WHEN {a} = {b} THEN 1.0 WHEN {a} = '' OR {b} = '' THEN 0.0 ELSE 2.0 * (length({a}) - {left}) / (length({a}) + length({b})) END"
+
+
+def token_parts(name: str, source: str, columns: tuple[tuple[str, str, str], ...]) -> str:
+    """A CTE: source with, for each (prefix, a, b), the joined shared tokens and those with each side's own, and token counts."""
+    joined = lambda x: f"array_to_string(list_sort({x}), ' ')"
+    out = []
+    for p, a, b in columns:
+        both = f"list_filter({once(a)}, lambda t: list_contains({once(b)}, t))"
+        out += [f"{joined(both)} AS {p}_both", f"trim({joined(both)} || ' ' || {joined(_only(a, b))}) AS {p}_one", f"trim({joined(both)} || ' ' || {joined(_only(b, a))}) AS {p}_other", f"len({once(a)}) AS {p}_na", f"len({once(b)}) AS {p}_nb"]
+    return f"{name} AS (SELECT *, {', '.join(out)} FROM {source})"
+
+
+def token_set(p: str) -> str:
+    both, one, other = f"{p}_both", f"{p}_one", f"{p}_other"
+    return f"CASE WHEN {p}_na = 0 OR {p}_nb = 0 THEN 0.0 WHEN {both} <> '' AND ({both} = {one} OR {both} = {other}) THEN 1.0 WHEN {both} = '' THEN {ratio(one, other)} ELSE greatest({ratio(one, other)}, {ratio(both, one)}, {ratio(both, other)}) END"
+
+
+_sorted = lambda x: f"array_to_string(list_sort({words(x)}), ' ')"
+_rank = [
+    "ms AS (SELECT m.*, a.name_core AS an, b.name_core AS bn, a.name_skeleton AS ak, b.name_skeleton AS bk, a.addr_street AS ast, b.addr_street AS bst, a.house_num AS ah, b.house_num AS bh FROM merged m JOIN rec a ON a.entity_id = m.s1_id JOIN rec b ON b.entity_id = m.cand_id)",
+    token_parts("mt", "ms", (("n", "an", "bn"), ("s", "ast", "bst"))),
+    f"mr AS (SELECT country, s1_id, cand_id, block_mask, block_score, round(0.45 * ({token_set('n')}) + CASE WHEN ak <> '' AND bk <> '' THEN 0.15 * ({ratio('ak', 'bk')}) ELSE 0.0 END + 0.30 * ({token_set('s')}) + CASE WHEN ah <> '' AND bh <> '' THEN CASE WHEN ah = bh THEN 0.10 ELSE -0.20 END ELSE 0.0 END, 9) AS rank_score FROM mt)",
+]
+_order = "ORDER BY rank_score DESC, block_score DESC, s1_id, cand_id"
+_fuzzy_core = f"CASE WHEN regexp_matches(trim(name_raw), '{text.HANDLE}') OR regexp_matches(trim(name_raw), '{text.DOMAIN}') OR (NOT regexp_matches(trim(name_raw), '\\s') AND regexp_matches(trim(name_raw), '{text.CAMEL}')) THEN trim(regexp_replace(lower({handle('name_raw')}), '[^\\p{{L}}\\p{{N}}]+', ' ', 'g')) ELSE name_core END"
+_fuzzy = [
+    f"fc AS (SELECT country, entity_id, source, name_skeleton, {_fuzzy_core} AS core FROM rec)",
+    f"fw AS (SELECT country, entity_id, source, ' ' || unnest({words('lower(core || chr(32) || replace(core, chr(32), chr(0) || chr(0)) || chr(32) || name_skeleton)')}) || ' ' AS w FROM fc)".replace("chr(0) || chr(0)", "''"),
+    "fg AS (SELECT country, entity_id, source, gram, 1 + ln(count(*)) AS tf FROM (SELECT country, entity_id, source, substr(w, unnest(range(1, greatest(length(w) - 2, 1) + 1))::INT, 3) AS gram FROM fw) GROUP BY ALL)",
+    "fn AS (SELECT country, count(*) AS n FROM rec WHERE source = 1 GROUP BY country)",
+    "fi AS (SELECT country, gram, ln((1 + n) / (1 + df)) + 1 AS idf FROM (SELECT country, gram, count(*) AS df FROM fg WHERE source = 1 GROUP BY ALL) JOIN fn USING (country) WHERE df <= least(1.0, greatest(0.002, 50 / n)) * n)",
+    "fv AS (SELECT country, entity_id, source, gram, tf * idf / sqrt(sum(tf * idf * tf * idf) OVER (PARTITION BY country, entity_id)) AS w FROM fg JOIN fi USING (country, gram))",
+    "fh AS (SELECT q.country, q.entity_id AS cand_id, x.entity_id AS s1_id, round(sum(q.w * x.w), 9) AS score FROM fv q JOIN fv x ON x.country = q.country AND x.gram = q.gram WHERE q.source <> 1 AND x.source = 1 GROUP BY ALL)",
+]
+ORACLE_SQL |= {
+    "feat_ratio": sql(RS, f"SELECT s1_id, cand_id, round({ratio('a_name_core', 'b_name_core')}, 9) AS similarity FROM sd"),
+    "feat_token_sort": sql([*RS, f"so AS (SELECT s1_id, cand_id, {_sorted('a_name_core')} AS x, {_sorted('b_name_core')} AS y FROM sd)"], f"SELECT s1_id, cand_id, round({ratio('x', 'y')}, 9) AS similarity FROM so"),
+    "feat_token_set": sql([*RS, token_parts("tp", "sd", (("n", "a_name_core", "b_name_core"),))], f"SELECT s1_id, cand_id, round({token_set('n')}, 9) AS similarity FROM tp"),
+    "rank_score": sql([*RM, *_rank], "SELECT s1_id, cand_id, rank_score FROM mr"),
+    "candidates": sql([*RM, *_rank, f"mk AS (SELECT *, row_number() OVER (PARTITION BY cand_id {_order})::INT AS rank_in_cand FROM mr)"], f"SELECT s1_id, cand_id, country, block_mask, rank_in_cand, block_score, rank_score FROM mk WHERE rank_in_cand <= 2 QUALIFY row_number() OVER (PARTITION BY s1_id {_order}) <= 50"),
+    "block_fuzzy": sql([*R, *_fuzzy], "SELECT country, cand_id, s1_id, round(score, 6) AS score FROM fh WHERE score >= 0.5 QUALIFY row_number() OVER (PARTITION BY country, cand_id ORDER BY score DESC, s1_id) <= 20"),
+}
