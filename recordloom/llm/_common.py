@@ -73,6 +73,7 @@ def words_of(text: str | None) -> list[str]:
 def slices(batches: Iterator, most: int = 2_000_000) -> Iterator[tuple]:
     """The Arrow batches in slices of about so many bytes of their "text" column: lists of Python words stay small."""
     import numpy as np
+    import pyarrow as pa
     import pyarrow.compute as pc
 
     for b in batches:
@@ -82,3 +83,4 @@ def slices(batches: Iterator, most: int = 2_000_000) -> Iterator[tuple]:
         cuts = [0, *(np.flatnonzero(np.diff(size)) + 1).tolist(), b.num_rows]
         for a, z in zip(cuts, cuts[1:]):
             yield b.slice(a, z - a)
+    pa.default_memory_pool().release_unused()  # a worker lives on after its task

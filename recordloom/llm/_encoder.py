@@ -115,8 +115,9 @@ class Encoder:
             return np.fromiter(chain.from_iterable(ids), np.int32, int(n.sum())), n
         k, words, after = self._words(texts)
         n = self.length[k]
-        into = np.cumsum(n) - n
-        flat = self.pool[np.repeat(self.start[k] - into, n) + np.arange(int(n.sum()))]
+        at = np.repeat((self.start[k] - np.cumsum(n) + n).astype(np.int32), n)  # a pool has far fewer than 2**31 ids
+        at += np.arange(len(at), dtype=np.int32)
+        flat = self.pool[at]
         self.used, self.filled = after
         return flat, sums(n, words)
 

@@ -45,7 +45,7 @@ _HASHES = _Hashes()
 def hashes(text: str | None) -> np.ndarray:
     """The hashes of the words, lower-cased."""
     words = words_of(text.lower()) if text else []
-    if len(_HASHES) > 600_000:
+    if len(_HASHES) > 150_000:
         _HASHES.clear()
     return np.fromiter(map(_HASHES.__getitem__, words), np.uint64, len(words))
 
