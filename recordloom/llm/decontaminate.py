@@ -1,7 +1,7 @@
-"""Benchmark decontamination: rare n-gram seeds find places, Smith-Waterman alignment judges them.
+"""Benchmark decontamination: n-gram seeds find places, Smith-Waterman alignment judges them.
 
-The benchmark is read in blocks of bounded size. For a block, all documents are first counted for every n-gram of its items;
-an item's n-grams but its common phrases become its seeds. Where a seed occurs in a document, the passage
+The benchmark is read in blocks of bounded size. Every n-gram of an item is a seed, however many documents hold it: a common
+phrase only costs alignments. Where a seed occurs in a document, the passage
 around it is aligned with the whole item, word by word, so copies with words changed, added or left out score high too.
 Documents are never shuffled: what a task needs of the benchmark is broadcast, and its size is that of a block.
 """
@@ -22,8 +22,6 @@ from recordloom.llm._common import slices
 
 WORD = re.compile(r"\w+")
 GRAM, MIN_WORDS = 3, 5
-#: An n-gram is a common phrase, and no seed, if it is in so many times the documents that the item's median n-gram is in.
-COMMON = 8
 MATCH, MISMATCH, GAP = 2, -1, 1
 #: The least score of an alignment, as a share of that of the item with itself.
 THRESHOLD = 0.5
@@ -66,7 +64,6 @@ class Index:
                 places[code].append((k, at))
         self.grams = np.array(sorted(places), np.int64)
         self.places = [places[g] for g in self.grams.tolist()]
-        self.seed = np.ones(len(self.grams), bool)
 
     def codes(self, x: np.ndarray) -> np.ndarray:
         """The code of each n-gram, -1 where a word isn't in the block."""
@@ -84,23 +81,15 @@ class Index:
         return np.fromiter((self.number.get(w, 0) for w in x), np.int64, len(x))
 
     def found(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Where in x the seeds stand, and which they are."""
+        """Where in x the block's n-grams stand, and which they are."""
         c = self.codes(x)
         at = np.flatnonzero(c >= 0)
         if not len(at) or not len(self.grams):
             return at[:0], at[:0]
         g = np.minimum(np.searchsorted(self.grams, c[at]), len(self.grams) - 1)
-        hit = (self.grams[g] == c[at]) & self.seed[g]
+        hit = self.grams[g] == c[at]
         return at[hit], g[hit]
 
-    def choose(self, counts: np.ndarray) -> None:
-        """Seeds: of each item the n-grams that aren't common phrases. They are judged against the item's own median, so an item
-        that a third of all documents hold keeps its seeds, and so do those that edited copies left intact."""
-        self.seed[:] = False
-        for _, x in self.items:
-            g = np.unique(np.searchsorted(self.grams, self.codes(x)))
-            self.seed[g[counts[g] <= COMMON * max(1, np.median(counts[g]))]] = True
-
     def matches(self, text: str | None, threshold: float) -> list[tuple[int, float, int, int]]:
         """item_id, score, and the aligned passage's window [from, to) in words, for each item that reaches the threshold."""
         x = self.numbered(text)
@@ -142,35 +131,7 @@ def blocks(benchmark: DataFrame) -> Iterator[list[tuple[int, str]]]:
 
 @functools.lru_cache(4)
 def _index(key: int, sent) -> Index:
-    items, seeds = sent.value
-    index = Index(items)
-    if seeds is not None:
-        index.seed = np.frombuffer(seeds, bool)
-    return index
-
-
-def seeded(docs: DataFrame, items: list[tuple[int, str]]):
-    """The broadcast (items, seeds) of a block, its n-grams counted in all documents."""
-    context, index = docs.sparkSession.sparkContext, Index(items)
-    sent = context.broadcast((items, None))
-    key = sent._jbroadcast.id()
-
-    def counted(batches):
-        own = _index(key, sent)
-        counts = np.zeros(len(own.grams), np.int64)
-        for b in slices(batches):
-            for t in b.column("text").to_pylist():
-                g = own.found(own.numbered(t))[1]
-                if len(g):
-                    counts[np.unique(g)] += 1
-        some = np.flatnonzero(counts)
-        yield pa.RecordBatch.from_arrays([pa.array(some, pa.int64()), pa.array(counts[some], pa.int64())], names=["gram", "n"])
-
-    counts = np.zeros(len(index.grams), np.int64)
-    for r in docs.select("text").mapInArrow(counted, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n")).toLocalIterator():
-        counts[r["gram"]] = r["n"]
-    index.choose(counts)
-    return context.broadcast((items, index.seed.tobytes()))
+    return Index(sent.value)
 
 
 def matched(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
@@ -182,7 +143,7 @@ def matched(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD)
     schema, out = "doc_id long, item_id long, score double, first_word long, last_word long", None
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     for items in blocks(benchmark):
-        sent = seeded(rows, items)
+        sent = docs.sparkSession.sparkContext.broadcast(items)
         part = rows.mapInArrow(functools.partial(_matches, sent._jbroadcast.id(), sent, threshold), schema)
         out = part if out is None else out.unionAll(part)
     return docs.sparkSession.createDataFrame([], schema) if out is None else out
@@ -202,7 +163,7 @@ def clean(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD) -
     names, at = [f"_c{i}" for i in range(len(docs.columns))], docs.columns.index("text")
     rows = docs.toDF(*names).withColumn("text", F.col(f"_c{at}"))
     for items in blocks(benchmark):
-        sent = seeded(docs.select("text"), items)
+        sent = docs.sparkSession.sparkContext.broadcast(items)
         rows = rows.mapInArrow(functools.partial(_cleaned, sent._jbroadcast.id(), sent, threshold), rows.schema)
     return rows.select(*names).toDF(*docs.columns)
 

@@ -335,6 +335,18 @@ def test_decontamination(spark, docs_of, odd_rows, clashing, monkeypatch):
     assert decontaminate.matched(docs_of(EMPTY), benchmark).collect() == []
 
 
+@pytest.mark.parametrize("every", [4, 5])
+@pytest.mark.parametrize("copies", [1, 8, 50])
+def test_decontamination_of_a_repeated_edited_copy(spark, docs_of, every, copies):
+    item = [f"w{i}" for i in range(30)]
+    edited = ["other" if i % every == every - 1 else w for i, w in enumerate(item)]
+    docs = docs_of([(i, " ".join([f"a{i}"] * 20 + edited + [f"b{i}"] * 20)) for i in range(copies)] + [(1000, "w0 w1 w2 and nothing else of it")])
+    benchmark = spark.createDataFrame([(7, " ".join(item))], "item_id long, text string")
+    got = decontaminate.matched(docs, benchmark).collect()
+    assert {(r["doc_id"], r["item_id"]) for r in got} == {(i, 7) for i in range(copies)}
+    assert [r["doc_id"] for r in decontaminate.clean(docs, benchmark).collect()] == [1000]
+
+
 # lines
 
 
