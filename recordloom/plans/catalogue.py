@@ -124,8 +124,7 @@ for _name, _bit in (("block_name", B.NAME), ("block_address", B.ADDRESS), ("bloc
 
 @query
 def block_fuzzy(s, d):
-    r = W.records(s, d)
-    return B.Index(r, B.Limits(fuzzy_cosine=0.5)).run(B.FUZZY).select("country", "cand_id", "s1_id", F.round("score", 6).alias("score"))
+    return B.Index(W.records(s, d)).run(B.FUZZY).select("country", "cand_id", "s1_id", F.round("score", 6).alias("score"))
 
 
 @query

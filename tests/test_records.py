@@ -3,6 +3,7 @@ from pyspark.sql import functions as F
 
 from recordloom.functions import similarity, text
 from recordloom.operators import blocking, features, normalize
+from recordloom.plans import catalogue
 
 RAW = "entity_id string, source int, country string, name_raw string, addr_raw string"
 
@@ -75,6 +76,14 @@ def test_candidates_find_the_owner(spark):
         assert not any(c == "S3-2" for _, c in got)
 
 
+def test_block_fuzzy_keeps_weak_names(spark, monkeypatch):
+    rows = [("S1-1", 1, "US", "Reed Pizza Parlour", ""), ("S1-2", 1, "US", "Blue Anchor Foods", ""), ("S2-1", 2, "US", "Blue Whale", ""), ("S2-2", 2, "US", "Quartz", "")]
+    records = normalize.build_records(raw(spark, rows)).cache()
+    monkeypatch.setattr(catalogue.W, "records", lambda s, d: records)
+    got = catalogue.QUERIES["block_fuzzy"](spark, "").collect()
+    assert [(r["cand_id"], r["s1_id"]) for r in got] == [("S2-1", "S1-2")] and 0.3 <= got[0]["score"] < 0.5
+
+
 def test_merge_scales_and_ranks(spark):
     raw_hits = spark.createDataFrame([("X", "c1", "a", 10.0, 0), ("X", "c1", "b", 5.0, 0), ("X", "c1", "a", 0.5, 1), ("X", "c2", "b", 1.0, 1)], "country string, cand_id string, s1_id string, score double, bit int")
     got = {(r["s1_id"], r["cand_id"]): (r["block_mask"], r["block_score"]) for r in blocking.merge_passes(raw_hits).collect()}
