@@ -245,12 +245,12 @@ def density(s, d):
 
 @query
 def train_oof(s, d):
-    return L.train_oof(X.build_features(W.pairs(s, d), W.records(s, d)), W.truth(s, d), W.folds(s, d), rounds=5)[0].select(*X.KEYS, "fold", "raw", "p")
+    return L.train_oof(X.build_features(W.pairs(s, d), W.records(s, d)), W.truth(s, d), W.folds(s, d))[0].select(*X.KEYS, "fold", "raw", "p")
 
 
 @query
 def fallback_oof(s, d):
-    return L.train_oof(L.fallback_features(W.pairs(s, d), W.records(s, d)), W.truth(s, d), W.folds(s, d), rounds=5)[0].select(*X.KEYS, "fold", "raw", "p")
+    return L.train_oof(L.fallback_features(W.pairs(s, d), W.records(s, d)), W.truth(s, d), W.folds(s, d))[0].select(*X.KEYS, "fold", "raw", "p")
 
 
 @query
@@ -263,7 +263,7 @@ def isotonic_calibration(s, d):
 def predict(s, d):
     rows = L.labelled(L.fallback_features(W.pairs(s, d), W.records(s, d)), W.truth(s, d), W.folds(s, d))
     names = [c for c in rows.columns if c not in (*X.KEYS, "label", "fold")]
-    return L.scored(L.fit(rows, names, rounds=5), rows, names).select(*X.KEYS, F.col("raw").alias("p"))
+    return L.scored(L.fit(rows, names), rows, names).select(*X.KEYS, F.col("raw").alias("p"))
 
 
 # decisions
