@@ -83,7 +83,7 @@ def skeleton(name: Column) -> Column:
     def one(t: Column) -> Column:
         for a, b in rules.PHONETIC:
             t = F.replace(t, F.lit(a), F.lit(b))
-        t = F.concat(F.substring(t, 1, 1), F.regexp_replace(F.substring(t, 2, 1000), "[aeiou]", ""))
+        t = F.concat(F.substring(t, 1, 1), F.regexp_replace(F.substr(t, F.lit(2)), "[aeiou]", ""))
         return F.regexp_replace(t, r"(.)\1+", "$1")
 
     return F.array_join(F.transform(words(name), one), " ")

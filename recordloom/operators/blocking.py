@@ -8,7 +8,7 @@ are rounded to 9 places; equal scores are ordered by s1_id.
 from __future__ import annotations
 
 from dataclasses import dataclass, replace
-from functools import reduce
+from functools import cached_property, reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -103,11 +103,18 @@ def pair_keys(top: DataFrame, cap: int) -> DataFrame:
 
 
 class Index:
-    """The statistics of a world's records that all passes use; each is written once."""
+    """The statistics of a world's records that the passes use; each is written once, by the first pass that needs it."""
 
     def __init__(self, records: DataFrame, limits: Limits = Limits()):
         self.records, self.limits = records, limits
-        self.name, self.skeleton, self.address, self.house = (saved(token_idf(records, c), f"idf-{c}") for c in ("name_core", "name_skeleton", "addr_norm", "house_num"))
+
+    def _idf(self, column: str) -> DataFrame:
+        return saved(token_idf(self.records, column), f"idf-{column}")
+
+    name = cached_property(lambda self: self._idf("name_core"))
+    skeleton = cached_property(lambda self: self._idf("name_skeleton"))
+    address = cached_property(lambda self: self._idf("addr_norm"))
+    house = cached_property(lambda self: self._idf("house_num"))
 
     def name_keys(self, own: DataFrame, always_skeleton: bool) -> DataFrame:
         cap = self.limits.name_cap
@@ -226,11 +233,19 @@ def fuzzy(s1: DataFrame, queries: DataFrame, limits: Limits) -> DataFrame:
     return hits.withColumn("_i", F.row_number().over(order)).filter(F.col("_i") <= limits.fuzzy_top_k).drop("_i")
 
 
-def merge_passes(raw: DataFrame, fixed: dict[int, float] | None = None) -> DataFrame:
+def greatest_scores(raw: DataFrame) -> DataFrame:
+    """country, bit, _m: each pass's greatest score in the country."""
+    return raw.groupBy("country", "bit").agg(F.max("score").alias("_m"))
+
+
+def merge_passes(raw: DataFrame, fixed: dict[int, float] | None = None, most: DataFrame | None = None) -> DataFrame:
     """country, s1_id, cand_id, block_mask (bits of the passes that found it), block_score (sum of each pass's score over the
-    pass's greatest in the country; fixed: passes whose greatest is known)."""
-    most = raw.groupBy("country", "bit").agg(F.max("score").alias("_m"))  # a row for each country and pass
-    rows = raw.join(F.broadcast(most), ["country", "bit"])
+    pass's greatest in the country; fixed: passes whose greatest is known; most: greatest_scores() of a fixed world, 1 at most
+    for a hit beyond them)."""
+    if most is None:
+        rows = raw.join(F.broadcast(greatest_scores(raw)), ["country", "bit"])  # a row for each country and pass
+    else:
+        rows = raw.join(F.broadcast(most), ["country", "bit"], "left").withColumn("_m", F.greatest("_m", "score"))
     for bit, value in (fixed or {}).items():
         rows = rows.withColumn("_m", F.when(F.col("bit") == bit, F.lit(value)).otherwise(F.col("_m")))
     share = F.when(F.col("_m") == 0, F.lit(0.0)).otherwise(F.try_divide(F.col("score"), F.col("_m")))

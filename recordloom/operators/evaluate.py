@@ -29,11 +29,14 @@ def pairs_of(df: DataFrame) -> DataFrame:
 
 
 def per_entity_f05(pred: DataFrame, gt: DataFrame, s1: DataFrame) -> DataFrame:
-    """s1's rows with n_pred, n_gt, tp, f05. Both empty: 1; one empty or nothing hit: 0. Repeated pairs count once."""
+    """s1's rows with n_pred, n_gt, tp, f05. Both empty: 1; one empty or nothing hit: 0. Repeated pairs and S1 ids count once
+    (of an id with several rows, the least of its other columns)."""
     p, t = pairs_of(pred), pairs_of(gt)
     both = p.withColumn("_p", F.lit(1)).join(t.withColumn("_t", F.lit(1)), ["s1_id", "cand_id"], "full")
     counts = both.groupBy("s1_id").agg(F.count("_p").alias("n_pred"), F.count("_t").alias("n_gt"), F.count(F.when(F.col("_p").isNotNull() & F.col("_t").isNotNull(), 1)).alias("tp"))
-    rows = s1.join(counts, "s1_id", "left").na.fill(0, ["n_pred", "n_gt", "tp"])
+    others = [c for c in s1.columns if c != "s1_id"]
+    once = s1.groupBy("s1_id").agg(F.min(F.struct(*others)).alias("_s")).select("s1_id", "_s.*") if others else s1.distinct()
+    rows = once.join(counts, "s1_id", "left").na.fill(0, ["n_pred", "n_gt", "tp"])
     precision, recall = F.try_divide(F.col("tp"), F.col("n_pred")), F.try_divide(F.col("tp"), F.col("n_gt"))
     f05 = F.when((F.col("n_pred") == 0) & (F.col("n_gt") == 0), F.lit(1.0)).when(F.col("tp") == 0, F.lit(0.0)).otherwise(1.25 * precision * recall / (0.25 * precision + recall))
     return rows.withColumn("f05", f05)
@@ -50,10 +53,11 @@ def macro_f05_by(pred: DataFrame, gt: DataFrame, s1: DataFrame, *by: str) -> Dat
 
 def s1_groups(records: DataFrame, gt: DataFrame) -> DataFrame:
     """s1_id, country, script: "native" if a match has a non-Latin name, "latin" if all are Latin, "singleton" without matches."""
-    s1 = records.filter("source = 1").select(F.col("entity_id").alias("s1_id"), "country")
-    scripts = records.select(F.col("entity_id").alias("cand_id"), "name_script")
-    native = pairs_of(gt).join(scripts, "cand_id", "left").groupBy("s1_id").agg(F.bool_or(F.coalesce("name_script", F.lit("Latin")) != "Latin").alias("_n"))
-    return s1.join(native, "s1_id", "left").select("s1_id", "country", F.when(F.col("_n").isNull(), "singleton").when(F.col("_n"), "native").otherwise("latin").alias("script"))
+    matched = pairs_of(gt).groupBy("s1_id").agg(F.lit("latin").alias("_any"))
+    foreign = records.filter(F.col("name_script") != "Latin").select(F.col("entity_id").alias("cand_id"))
+    native = pairs_of(gt).join(foreign, "cand_id", "left_semi").select("s1_id", F.lit("native").alias("_native")).distinct()
+    rows = records.filter("source = 1").select(F.col("entity_id").alias("s1_id"), "country").join(native, "s1_id", "left").join(matched, "s1_id", "left")
+    return rows.select("s1_id", "country", F.coalesce("_native", "_any", F.lit("singleton")).alias("script"))
 
 
 def found(candidates: DataFrame, gt: DataFrame) -> DataFrame:

@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from recordloom.operators.blocking import sides
 from recordloom.operators.evaluate import SEED, seeded
 from recordloom.operators.features import KEYS, house_relation, length_ratio, legal_conflict
-from recordloom.functions.similarity import scorer
+from recordloom.functions.similarity import scorer, scorers
+from recordloom.sources.artifacts import saved
 
 MATCH_CAP = 5
 
@@ -18,31 +21,44 @@ def match_counts(s1: DataFrame, gt: DataFrame) -> DataFrame:
     return s1.select("s1_id", "country").dropDuplicates(["s1_id"]).join(n, "s1_id", "left").withColumn("n_matches", F.coalesce("n_matches", F.lit(0)).cast("int"))
 
 
+def numbered(rows: DataFrame, strata: list[str], order: list[str]) -> DataFrame:
+    """rows with _i, 1 and up in each stratum by order, and _n, the stratum's rows.
+
+    Rows are dealt by ranges of strata and order, so a large stratum is many tasks' work; each range numbers its own part of
+    a stratum, and a table with a row for each range and stratum edge says where the part begins.
+    """
+    n = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = saved(rows.repartitionByRange(n, *strata, *order).withColumn("_part", F.spark_partition_id()), "ranges")
+    sizes = rows.groupBy("_part", *strata).agg(F.count("*").alias("_size"))
+    before = Window.partitionBy(*strata).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    starts = sizes.withColumns({"_start": F.coalesce(F.sum("_size").over(before), F.lit(0)), "_n": F.sum("_size").over(Window.partitionBy(*strata))})
+    starts = starts.select(*(F.col(c).alias(f"_of{c}") for c in ("_part", *strata)), "_start", "_n")  # fewer rows than ranges and strata together
+    names = [c for c in rows.columns if c != "_part"]
+    rows = rows.withColumn("_in", F.row_number().over(Window.partitionBy("_part", *strata).orderBy(*order)))
+    same = reduce(Column.__and__, (F.col(c).eqNullSafe(F.col(f"_of{c}")) for c in ("_part", *strata)))
+    return rows.join(F.broadcast(starts), same).select(*names, (F.col("_in") + F.col("_start")).alias("_i"), "_n")
+
+
 def make_folds(s1: DataFrame, gt: DataFrame, n_folds: int = 5, seed: int = SEED) -> DataFrame:
     """s1_id, fold, country, n_matches: in each stratum (country, matches up to MATCH_CAP) dealt in turn, in a seeded order."""
-    rows = match_counts(s1, gt)
-    order = Window.partitionBy("country", F.least("n_matches", F.lit(MATCH_CAP))).orderBy(seeded("s1_id", seed), "s1_id")
-    return rows.withColumn("fold", ((F.row_number().over(order) - 1) % n_folds).cast("int")).select("s1_id", "fold", "country", "n_matches")
+    rows = match_counts(s1, gt).withColumns({"_stratum": F.least("n_matches", F.lit(MATCH_CAP)), "_order": seeded("s1_id", seed)})
+    return numbered(rows, ["country", "_stratum"], ["_order", "s1_id"]).select("s1_id", ((F.col("_i") - 1) % n_folds).cast("int").alias("fold"), "country", "n_matches")
 
 
 def sample_subworld(s1: DataFrame, gt: DataFrame, candidates: DataFrame, frac: float = 0.1, seed: int = SEED) -> tuple[DataFrame, DataFrame]:
     """A closed part of the world, (entity_id, source, role), and its candidates: a share of each country's S1 records, all their
     matches, and the unmatched records whose first S1 record is one of them."""
-    base = s1.select("s1_id", "country").dropDuplicates(["s1_id"])
-    order = Window.partitionBy("country").orderBy(seeded("s1_id", seed), "s1_id")
-    rows = base.withColumns({"_i": F.row_number().over(order), "_n": F.count("*").over(Window.partitionBy("country"))})
-    sampled = rows.filter(F.col("_i") <= F.greatest(F.bround(F.col("_n") * frac), F.lit(1))).select("s1_id")
-    matches = gt.join(sampled, "s1_id", "left_semi").select(F.col("match_id").alias("entity_id"))
-    owned = candidates.filter("rank_in_cand = 1").join(sampled, "s1_id", "left_semi")
-    decoys = owned.join(gt.select(F.col("match_id").alias("cand_id")), "cand_id", "left_anti").select(F.col("cand_id").alias("entity_id"))
-    roles = (("s1", sampled.select(F.col("s1_id").alias("entity_id"))), ("match", matches), ("decoy", decoys))
-    world = None
-    for i, (role, df) in enumerate(roles):
-        part = df.select("entity_id", F.lit(i).alias("_o"), F.lit(role).alias("role"))
-        world = part if world is None else world.unionByName(part)
-    world = world.groupBy("entity_id").agg(F.min_by("role", "_o").alias("role")).select("entity_id", F.substring("entity_id", 2, 1).cast("int").alias("source"), "role")
+    base = s1.select("s1_id", "country").dropDuplicates(["s1_id"]).withColumn("_order", seeded("s1_id", seed))
+    chosen = numbered(base, ["country"], ["_order", "s1_id"]).filter(F.col("_i") <= F.greatest(F.bround(F.col("_n") * frac), F.lit(1))).select("s1_id")
+    chosen = saved(chosen, "sampled")
+    within = lambda df: df.join(chosen, "s1_id", "left_semi")
+    firsts = within(candidates.filter("rank_in_cand = 1")).join(gt.select(F.col("match_id").alias("cand_id")), "cand_id", "left_anti")
+    # an id of several roles has the first of them
+    members = {"0s1": chosen.select("s1_id"), "1match": within(gt).select("match_id"), "2decoy": firsts.select("cand_id")}
+    every = reduce(DataFrame.unionAll, (df.toDF("entity_id").withColumn("_r", F.lit(r)) for r, df in members.items()))
+    world = every.groupBy("entity_id").agg(F.min("_r").alias("_r")).select("entity_id", F.substring("entity_id", 2, 1).cast("int").alias("source"), F.substr("_r", F.lit(2)).alias("role"))
     others = world.filter("role <> 's1'").select(F.col("entity_id").alias("cand_id"))
-    return world, candidates.join(sampled, "s1_id", "left_semi").join(others, "cand_id", "left_semi")
+    return world, within(candidates).join(others, "cand_id", "left_semi")
 
 
 def density_report(world: DataFrame, records: DataFrame) -> DataFrame:
@@ -57,8 +73,9 @@ def fallback_features(candidates: DataFrame, records: DataFrame) -> DataFrame:
     """KEYS and eight plain features."""
     rows = sides(candidates, records, ("name_core", "addr_street", "house_num", "legal_form"))
     rel, diff = house_relation("a_house_num", "b_house_num")
+    rows = rows.withColumn("_name", scorers(["tset", "tsort"], "a_name_core", "b_name_core"))
     return rows.select(
-        *KEYS, F.col("block_score").cast("double").alias("block_score"), scorer("tset")("a_name_core", "b_name_core").alias("name_tset"), scorer("tsort")("a_name_core", "b_name_core").alias("name_tsort"),
+        *KEYS, F.col("block_score").cast("double").alias("block_score"), F.col("_name.tset").alias("name_tset"), F.col("_name.tsort").alias("name_tsort"),
         scorer("tset")("a_addr_street", "b_addr_street").alias("street_tset"), (rel == "equal").cast("double").alias("hn_equal"), F.log1p(F.coalesce(diff, F.lit(0)).cast("double")).alias("hn_diff"),
         legal_conflict("a_legal_form", "b_legal_form").alias("legal_conflict"), F.coalesce(length_ratio("a_name_core", "b_name_core"), F.lit(0.0)).alias("name_len_ratio"),
     )
@@ -113,8 +130,6 @@ def cross_fit_isotonic(oof: DataFrame, folds: list[int]) -> DataFrame:
 def train_oof(features: DataFrame, gt: DataFrame, folds: DataFrame, n_folds: int = 5, seed: int = SEED, rounds: int = 20, max_train_s1: int = 300_000) -> tuple[DataFrame, object]:
     """Scores (s1_id, cand_id, fold, label, raw, p) of models that never saw the fold, and a model of all rows. Each model sees
     max_train_s1 S1 records at most, those first in a seeded order."""
-    from recordloom.sources.artifacts import saved
-
     rows = saved(labelled(features, gt, folds), "training")
     names = [c for c in features.columns if c not in (*KEYS, "country")]
 

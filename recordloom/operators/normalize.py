@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from recordloom.functions import rules, text
+from recordloom.sources.artifacts import saved
 
 AREA_SHARE = 0.15
 #: A house-number word before a number; a number with "bis"/"ter" or one letter behind it.
@@ -98,16 +99,19 @@ def area_tokens(records: DataFrame, share: float = AREA_SHARE) -> DataFrame:
     return docs.join(records.groupBy("country").agg(F.count("*").alias("_n")), "country").filter(F.col("docs") / F.col("_n") > share).drop("_n")
 
 
-def without_area_tokens(records: DataFrame, share: float = AREA_SHARE) -> DataFrame:
-    """addr_street without its country's area tokens; where nothing would be left, as it is."""
+def without_area_tokens(records: DataFrame, share: float = AREA_SHARE, areas: DataFrame | None = None) -> DataFrame:
+    """addr_street without its country's area tokens (those of the records, unless areas gives them); where nothing would be
+    left, as it is."""
     # fewer than 1 / share times the tokens of an average address for each country
-    areas = area_tokens(records, share).groupBy("country").agg(F.collect_list("token").alias("_area"))
-    rows = records.join(F.broadcast(areas), "country", "left")
+    areas = area_tokens(records, share) if areas is None else areas
+    rows = records.join(F.broadcast(areas.groupBy("country").agg(F.collect_list("token").alias("_area"))), "country", "left")
     left = F.array_join(F.filter(text.words(F.col("addr_street")), lambda t: ~F.array_contains(F.col("_area"), t)), " ")
     return rows.withColumn("addr_street", F.when(F.col("_area").isNull() | (left == ""), F.col("addr_street")).otherwise(left)).drop("_area")
 
 
-def build_records(raw: DataFrame, transliterated: bool = True) -> DataFrame:
-    """entity_id, source, country, name_raw, addr_raw to the full records contract. Null names and addresses count as empty."""
+def build_records(raw: DataFrame, transliterated: bool = True, areas: DataFrame | None = None) -> DataFrame:
+    """entity_id, source, country, name_raw, addr_raw to the full records contract. Null names and addresses count as empty.
+    areas: area_tokens() of a fixed world, where raw is only what came new."""
     rows = raw.withColumns({c: F.coalesce(c, F.lit("")) for c in ("name_raw", "addr_raw")})
-    return without_area_tokens(with_addresses(with_names(rows, transliterated)))
+    rows = saved(with_addresses(with_names(rows, transliterated)), "normalised")  # the counts of area tokens read it again
+    return without_area_tokens(rows, areas=areas)

@@ -10,7 +10,7 @@ from types import MappingProxyType
 from typing import Any
 
 DEFAULTS = {
-    "paths": {"raw": "student_resource", "artifacts": "artifacts", "out": "submission"},
+    "paths": {"raw": "input", "artifacts": "artifacts", "out": "submission"},
     "block": {"k_per_query": 2, "max_cands": 50, "addr_key_cap": 50, "combo_key_cap": 50, "fuzzy": False, "min_score": None},
     "folds": {"n": 5, "seed": 42},
     "subworld": {"frac": 0.1},

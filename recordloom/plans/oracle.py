@@ -49,7 +49,7 @@ from recordloom.operators.normalize import ANY_NUMBER, LEADING, MARKER  # noqa:
 
 RECORDS = f"""
 raw AS (SELECT 'S' || (doc_id % 3 + 1) || '-' || doc_id AS entity_id, (doc_id % 3 + 1)::INT AS source, lang AS country,
-        trim(substr(split_part(text, chr(10), 1), 1, 60)) AS name_raw, n_chars || ' ' || source AS addr_raw, text FROM documents),
+        trim(split_part(text, chr(10), 1)) AS name_raw, n_chars || ' ' || source AS addr_raw, text FROM documents),
 n0 AS (SELECT *, regexp_replace({base('name_raw')}, '^(?:(?:{'|'.join(rules.STRIP_PREFIXES)})(?: |$))+', '') AS nb, {base('addr_raw')} AS addr_norm FROM raw),
 n1 AS (SELECT *, list_transform({words('nb')}, lambda t: coalesce(map_extract({_pairs(rules.NAME_ABBREVIATIONS)}, t)[1], t)) AS name_tokens FROM n0),
 n2 AS (SELECT *, array_to_string(name_tokens, ' ') AS name_norm FROM n1),
@@ -63,7 +63,7 @@ n4 AS (SELECT *, best.form AS legal_form, CASE WHEN best.form = '' THEN name_nor
 n5 AS (SELECT *, CASE WHEN marked <> '' THEN CASE WHEN list_contains({_list(rules.non_house_markers('generic'))}, string_split(trim(substr(addr_norm, 1, greatest(strpos(addr_norm, regexp_extract(addr_norm, '{MARKER}', 0)) - 1, 0))), ' ')[-1]) THEN '' ELSE {strip_zeros("regexp_replace(marked, '\\s+', '', 'g')")} END
         WHEN lead_num <> '' THEN {strip_zeros("regexp_replace(lead_num, '\\s+', '', 'g')")} ELSE '' END AS house_num FROM n4),
 n6 AS (SELECT *, list_position(list_transform({words('addr_norm')}, lambda t: {strip_zeros('t')} = house_num OR t = house_num), true) AS house_at FROM n5),
-n7 AS (SELECT *, CASE WHEN house_num = '' OR coalesce(house_at, 0) = 0 THEN addr_norm ELSE array_to_string(list_concat(list_slice({words('addr_norm')}, 1, house_at - 1), list_slice({words('addr_norm')}, house_at + 1, 1000)), ' ') END AS street0 FROM n6),
+n7 AS (SELECT *, CASE WHEN house_num = '' OR coalesce(house_at, 0) = 0 THEN addr_norm ELSE array_to_string(list_concat(list_slice({words('addr_norm')}, 1, house_at - 1), list_slice({words('addr_norm')}, house_at + 1, len({words('addr_norm')}))), ' ') END AS street0 FROM n6),
 nc AS (SELECT country, count(*) AS n FROM raw GROUP BY country),
 area0 AS (SELECT country, token, count(DISTINCT entity_id) AS docs FROM (SELECT country, entity_id, unnest(string_split(addr_norm, ' ')) AS token FROM n7) WHERE length(token) > 1 AND NOT regexp_matches(token, '^[0-9]') GROUP BY country, token),
 area AS (SELECT area0.country, token, docs FROM area0 JOIN nc USING (country) WHERE docs / n > 0.15),
@@ -77,11 +77,17 @@ def idf(name: str, column: str) -> str:
 {name} AS (SELECT {name}0.*, ln(n / df) AS idf FROM {name}0 JOIN nc USING (country))"""
 
 
+def each_token(tokens: str) -> str:
+    return f"SELECT country, entity_id, source, unnest({tokens}) AS token, generate_subscripts({tokens}, 1) AS i FROM rec"
+
+
 def rarest(name: str, tokens: str, table: str, k: int, cap: int | None) -> str:
+    """tokens: SQL for a list, or a table of tokens."""
+    each = tokens if tokens.startswith("SELECT") else each_token(tokens)
     return f"""
 {name} AS (SELECT * FROM (SELECT country, entity_id, source, token, weight, df, row_number() OVER (PARTITION BY country, entity_id ORDER BY weight DESC, i) AS pos FROM (
   SELECT e.country, e.entity_id, e.source, e.token, e.i, coalesce(idf, 10.0) AS weight, coalesce(df, 0) AS df FROM
-    (SELECT country, entity_id, source, unnest({tokens}) AS token, generate_subscripts({tokens}, 1) AS i FROM rec) e
+    ({each}) e
     LEFT JOIN {table} t ON t.country = e.country AND t.token = e.token WHERE length(e.token) >= 2{f' AND coalesce(df, 0) <= {cap}' if cap else ''})) WHERE pos <= {k})"""
 
 
@@ -91,14 +97,13 @@ from recordloom.operators.blocking import legal_skeletons  # noqa: E402
 SKELETON_TOKENS = f"list_filter({words('name_skeleton')}, lambda t: NOT list_contains({_list(legal_skeletons('generic'))}, t))"
 STREET_TOKENS = f"CASE WHEN len({words('addr_street')}) > 0 THEN {words('addr_street')} ELSE list_filter({words('addr_norm')}, lambda t: NOT list_contains(addr_nums, t) AND NOT list_contains(addr_nums, regexp_replace(t, '^0+', ''))) END"
 CORE_TOKENS = f"list_filter({words('name_core')}, lambda t: length(t) >= 2)"
-#: The different tokens in their first order.
-CORE_ONCE = f"list_filter({CORE_TOKENS}, lambda t, i: list_position({CORE_TOKENS}, t) = i)"
-
 IDF = ",".join(idf(n, c) for n, c in (("iname", "name_core"), ("iskel", "name_skeleton"), ("iaddr", "addr_norm"), ("ihouse", "house_num")))
 
 KEYS = ",".join([
+    f"""
+ct AS (SELECT country, entity_id, source, token, min(i) AS i FROM ({each_token(CORE_TOKENS)}) GROUP BY ALL)""",  # the different tokens in their first order
     rarest("ra", words("name_core"), "iname", 3, 2000), rarest("rs", SKELETON_TOKENS, "iskel", 3, 2000), rarest("rb", STREET_TOKENS, "iaddr", 2, None),
-    rarest("rd", CORE_ONCE, "iname", 2, None), rarest("re", SKELETON_TOKENS, "iskel", 2, None),
+    rarest("rd", "SELECT * FROM ct", "iname", 2, None), rarest("re", SKELETON_TOKENS, "iskel", 2, None),
     """
 ka1 AS (SELECT country, entity_id, key, max(weight) AS weight FROM (SELECT country, entity_id, token AS key, weight FROM ra WHERE source = 1
         UNION ALL SELECT rs.country, rs.entity_id, rs.token, coalesce(i.idf, rs.weight) FROM rs LEFT JOIN iname i ON i.country = rs.country AND i.token = rs.token WHERE source = 1) GROUP BY country, entity_id, key),
@@ -108,7 +113,7 @@ kb AS (SELECT rb.country, rb.entity_id, rb.source, m.number || chr(1) || rb.toke
 kc AS (SELECT rec.country, rec.entity_id, rec.source, house_num AS key, coalesce(idf, 5.0) AS weight FROM rec LEFT JOIN ihouse i ON i.country = rec.country AND i.token = house_num WHERE house_num <> '' AND coalesce(df, 0) <= 50)""",
     f"""
 kx AS (SELECT e.country, e.entity_id, e.source, 'core' || chr(1) || e.whole AS key, round(sum(coalesce(idf, 10.0)), 9) AS weight FROM
-       (SELECT country, entity_id, source, array_to_string(list_sort({CORE_ONCE}), ' ') AS whole, unnest({CORE_ONCE}) AS token FROM rec) e LEFT JOIN iname i ON i.country = e.country AND i.token = e.token GROUP BY ALL),
+       (SELECT ct.country, entity_id, ct.source, whole, token FROM ct JOIN (SELECT entity_id, string_agg(token, ' ' ORDER BY token) AS whole FROM ct GROUP BY entity_id) USING (entity_id)) e LEFT JOIN iname i ON i.country = e.country AND i.token = e.token GROUP BY ALL),
 kn AS (SELECT country, entity_id, source, token, arg_max(weight, o) AS weight FROM (SELECT country, entity_id, source, token, weight, 0 AS o FROM rd UNION ALL SELECT country, entity_id, source, token, weight, 1 FROM re WHERE source = 1) GROUP BY country, entity_id, source, token),
 kd AS (SELECT * FROM kx UNION ALL SELECT kn.country, kn.entity_id, kn.source, kn.token || chr(1) || rb.token, kn.weight + rb.weight FROM kn JOIN rb ON rb.entity_id = kn.entity_id AND rb.country = kn.country)""",
 ])
@@ -146,7 +151,7 @@ f05 AS (SELECT s1_id, country, n_pred, n_gt, tp, CASE WHEN n_pred = 0 AND n_gt =
    LEFT JOIN (SELECT m.s1_id, count(*) AS n, count(t.match_id) AS tp FROM matches m LEFT JOIN truth t ON t.s1_id = m.s1_id AND t.match_id = m.cand_id GROUP BY m.s1_id) a USING (s1_id) LEFT JOIN ngt USING (s1_id)))"""
 SIDES = """
 sd AS (SELECT p.*, a.name_core AS a_name_core, b.name_core AS b_name_core, a.addr_street AS a_street, b.addr_street AS b_street, a.house_num AS a_house, b.house_num AS b_house,
-  a.legal_form AS a_legal, b.legal_form AS b_legal, b.source AS b_source FROM pairs p JOIN rec a ON a.entity_id = p.s1_id JOIN rec b ON b.entity_id = p.cand_id)"""
+  a.legal_form AS a_legal, b.legal_form AS b_legal, a.name_skeleton AS a_skel, b.name_skeleton AS b_skel, b.source AS b_source FROM pairs p JOIN rec a ON a.entity_id = p.s1_id JOIN rec b ON b.entity_id = p.cand_id)"""
 once = lambda x: f"list_distinct({words(x)})"
 FOUND = "found AS (SELECT t.s1_id, t.match_id, p.cand_id IS NOT NULL AS found, coalesce(block_mask, 0) AS block_mask FROM truth t LEFT JOIN pairs p ON p.s1_id = t.s1_id AND p.cand_id = t.match_id)"
 ERRORS = """
@@ -176,16 +181,16 @@ _digits = lambda c: f"regexp_extract(lower(trim({c})), '^([0-9]+)', 1)"  # noqa:
 
 def _house() -> str:
     parts = ", ".join(f"lower(trim({s}_house)) AS f{s}, CASE WHEN {_digits(s + '_house')} <> '' THEN {strip_zeros(_digits(s + '_house'))} END AS b{s}, regexp_replace(regexp_replace(lower(trim({s}_house)), '^[0-9]+', ''), '[^0-9a-z]', '', 'g') AS s{s}" for s in "ab")
-    swap = " OR ".join(f"substr(ba, 1, {i}) || substr(ba, {i + 2}, 1) || substr(ba, {i + 1}, 1) || substr(ba, {i + 3}) = bb" for i in range(10))
+    swap = " OR ".join(f"substr(ba, 1, {i}) || substr(ba, {i + 2}, 1) || substr(ba, {i + 1}, 1) || substr(ba, {i + 3}) = bb" for i in range(9))
     drop = " OR ".join(f"{strip_zeros(f'(substr(big, 1, {i}) || substr(big, {i + 2}))')} = small" for i in range(10))
-    return f"""h AS (SELECT *, CASE WHEN length(ba) > length(bb) THEN ba ELSE bb END AS big, CASE WHEN length(ba) > length(bb) THEN bb ELSE ba END AS small, try_cast(ba AS BIGINT) AS na, try_cast(bb AS BIGINT) AS nb FROM (SELECT s1_id, cand_id, {parts} FROM sd))
-SELECT s1_id, cand_id, CASE WHEN fa = '' AND fb = '' THEN 'both_missing' WHEN fa = '' OR fb = '' THEN 'one_missing' WHEN fa = fb OR (ba = bb AND sa = sb) THEN 'equal' WHEN ba = bb THEN 'same_base_diff_suffix'
- WHEN length(ba) = length(bb) AND ({swap}) THEN 'transposed' WHEN {drop} THEN 'digit_dropped' WHEN abs(na - nb) <= 50 THEN 'small_shift' ELSE 'different' END AS hn_rel, abs(na - nb) AS hn_diff,
- CASE WHEN greatest(na, nb) > 0 THEN round(abs(na - nb) / greatest(na, nb), 9) END AS hn_rel_diff FROM h"""
+    return f"""h AS (SELECT *, CASE WHEN length(ba) > length(bb) THEN ba ELSE bb END AS big, CASE WHEN length(ba) > length(bb) THEN bb ELSE ba END AS small, try_cast(ba AS BIGINT) AS na, try_cast(bb AS BIGINT) AS nb FROM (SELECT s1_id, cand_id, {parts} FROM sd)),
+hc AS (SELECT s1_id, cand_id, hn_rel::INT AS hn_rel, (hn_rel >= 6)::INT AS hn_conflict, hn_diff, hn_rel_diff FROM (SELECT s1_id, cand_id, CASE WHEN fa = '' AND fb = '' THEN 0 WHEN fa = '' OR fb = '' THEN 1 WHEN fa = fb OR (ba = bb AND sa = sb) THEN 2 WHEN ba = bb THEN 3
+ WHEN length(ba) = length(bb) AND ({swap}) THEN 4 WHEN {drop} THEN 5 WHEN abs(na - nb) <= 50 THEN 6 ELSE 7 END AS hn_rel, abs(na - nb) AS hn_diff,
+ CASE WHEN greatest(na, nb) > 0 THEN round(abs(na - nb) / greatest(na, nb), 9) END AS hn_rel_diff FROM h))"""
 
 
 def sql(ctes: list[str], select: str) -> str:
-    return "WITH " + ",".join(ctes) + (", " + select if select.startswith("h AS") else "\n" + select)
+    return "WITH " + ",".join(ctes) + "\n" + select
 
 
 from recordloom.operators.profile import FLAGS  # noqa: E402
@@ -236,8 +241,8 @@ ORACLE_SQL: dict[str, str] = {
     "feat_context": sql(RM, """SELECT s1_id, cand_id, block_score, rank_in_cand, """ + ", ".join(f"((block_mask >> {i}) & 1)::INT AS pass_{i}" for i in range(8)) + """, round(block_score - CASE WHEN rc = 1 THEN second ELSE best END, 9) AS gap_other_s1, n_s1_for_cand, cand_rank_in_s1, n_cands_s1, round(bs - block_score, 9) AS gap_to_s1_best FROM (SELECT *, row_number() OVER c AS rc, nth_value(block_score, 2) OVER (PARTITION BY cand_id ORDER BY block_score DESC, s1_id ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING) AS second, max(block_score) OVER (PARTITION BY cand_id) AS best, (count(*) OVER (PARTITION BY cand_id))::INT AS n_s1_for_cand, (row_number() OVER s)::INT AS cand_rank_in_s1, (count(*) OVER (PARTITION BY s1_id))::INT AS n_cands_s1, max(block_score) OVER (PARTITION BY s1_id) AS bs FROM pairs WINDOW c AS (PARTITION BY cand_id ORDER BY block_score DESC, s1_id), s AS (PARTITION BY s1_id ORDER BY block_score DESC, cand_id))"""),
     "idf_stats": sql([*RS, _idf_x.replace("{list}", once("a_name_core"))], "SELECT p.s1_id, p.cand_id, coalesce(x_sum, 0.0) AS x_sum, x_min, x_mean FROM pairs p LEFT JOIN xs USING (s1_id, cand_id)"),
     "feat_token_diff": sql([*RS, _idf_x.replace("{list}", _only("a_name_core", "b_name_core")), _idf_x.replace("{list}", _only("b_name_core", "a_name_core")).replace("xi0", "yi0").replace("xi ", "yi ").replace("xs ", "ys ")], f"SELECT sd.s1_id, sd.cand_id, len({_only('a_name_core', 'b_name_core')})::INT AS name_only_a, len({_only('b_name_core', 'a_name_core')})::INT AS name_only_b, coalesce(xs.x_sum, 0.0) AS name_extra_idf_a, coalesce(ys.x_sum, 0.0) AS name_extra_idf_b, (len({_only('a_name_core', 'b_name_core')}) + len({_only('b_name_core', 'a_name_core')}) = 1 AND len({_both}) > 0)::INT AS name_one_extra FROM sd LEFT JOIN xs USING (s1_id, cand_id) LEFT JOIN ys USING (s1_id, cand_id)"),
-    "feat_house_relation": sql(RS, _house()),
-    "feat_legal_relation": sql(RS, "SELECT s1_id, cand_id, CASE WHEN a_legal = '' AND b_legal = '' THEN 'both_missing' WHEN a_legal = '' OR b_legal = '' THEN 'one_missing' WHEN a_legal = b_legal THEN 'equal' ELSE 'conflict' END AS legal_rel FROM sd"),
+    "feat_house_relation": sql([*RS, _house()], "SELECT s1_id, cand_id, hn_rel, hn_conflict, hn_diff, hn_rel_diff FROM hc"),
+    "feat_legal_relation": sql(RS, "SELECT s1_id, cand_id, CASE WHEN a_legal = '' AND b_legal = '' THEN 2 WHEN a_legal = '' OR b_legal = '' THEN 1 WHEN a_legal = b_legal THEN 0 ELSE 3 END::INT AS legal_rel FROM sd"),
     "feat_length_script": sql(RS, "SELECT s1_id, cand_id, 0 AS s1_script, 0 AS cand_script, 1 AS same_script, (b_source = 3)::INT AS is_s3, " + ", ".join(f"CASE WHEN greatest(length(a_{c}), length(b_{c})) > 0 THEN round(least(length(a_{c}), length(b_{c})) / greatest(length(a_{c}), length(b_{c})), 9) END AS {n}_len_ratio" for n, c in (("name", "name_core"), ("street", "street"))) + " FROM sd"),
     "feat_rarity": sql([*RS, _idf_x.replace("{list}", _both), "nf AS (SELECT country, name_core, count(*) AS f FROM rec GROUP BY ALL)"], "SELECT sd.s1_id, sd.cand_id, x_min AS shared_idf_min, x_mean AS shared_idf_mean, round(ln(1 + a.f), 9) AS a_name_freq_log, round(ln(1 + b.f), 9) AS b_name_freq_log FROM sd LEFT JOIN xs USING (s1_id, cand_id) LEFT JOIN nf a ON a.country = sd.country AND a.name_core = a_name_core LEFT JOIN nf b ON b.country = sd.country AND b.name_core = b_name_core"),
     # DuckDB compares bytes; the one letter of two bytes that folding leaves becomes one that names never have
@@ -261,7 +266,7 @@ ORACLE_SQL: dict[str, str] = {
     "blocking_by_pass": sql([*RMT, FOUND], "SELECT bit, pass, pairs, round(coalesce(h, 0) / greatest(n, 1), 9) AS recall, round(coalesce(u, 0) / greatest(n, 1), 9) AS unique_recall FROM (SELECT unnest(range(0, 5))::INT AS bit, unnest(['name_token', 'addr_key', 'house_num', 'name_street', 'fuzzy']) AS pass) b, LATERAL (SELECT count(*) AS pairs FROM pairs WHERE block_mask & (1 << b.bit) <> 0) p, LATERAL (SELECT count(*) AS h, count(*) FILTER (WHERE block_mask = 1 << b.bit) AS u FROM found WHERE found AND block_mask & (1 << b.bit) <> 0) f, (SELECT count(*) AS n FROM truth) t WHERE pairs > 0"),
     "recall_at_k": sql(RMT, "SELECT k::INT AS k, round(avg((coalesce(rank_in_cand, 1000000) <= k)::INT), 9) AS recall FROM truth t LEFT JOIN ranked r ON r.s1_id = t.s1_id AND r.cand_id = t.match_id, (SELECT unnest([1, 2, 3, 5]) AS k) GROUP BY k"),
     "decoy_load": sql(RMT, "SELECT country, count(*) AS unmatched, round(avg(coalesce(n, 0)), 9) AS s1_kept FROM raw LEFT JOIN (SELECT cand_id, count(*) AS n FROM pairs GROUP BY cand_id) p ON cand_id = entity_id WHERE source <> 1 AND entity_id NOT IN (SELECT match_id FROM truth) GROUP BY country"),
-    "missed_pairs": sql(RMT, "SELECT s1_id, match_id, CASE WHEN EXISTS (SELECT 1 FROM merged m WHERE m.s1_id = t.s1_id AND m.cand_id = t.match_id) THEN 'ranked out' ELSE 'not retrieved' END AS reason FROM truth t WHERE NOT EXISTS (SELECT 1 FROM pairs p WHERE p.s1_id = t.s1_id AND p.cand_id = t.match_id AND rank_in_cand = 1)"),
+    "missed_pairs": sql(RMT, "SELECT s1_id, match_id, CASE WHEN EXISTS (SELECT 1 FROM merged m WHERE m.s1_id = t.s1_id AND m.cand_id = t.match_id) THEN 'ranked out' ELSE 'not retrieved' END AS reason FROM truth t WHERE NOT EXISTS (SELECT 1 FROM (SELECT * FROM ranked QUALIFY row_number() OVER (PARTITION BY s1_id ORDER BY block_score DESC, cand_id) = 1) p WHERE p.s1_id = t.s1_id AND p.cand_id = t.match_id)"),
     "error_classes": sql([*RD, ERRORS, _rich], "SELECT s1_id, cand_id, kind, p, gt_owner, assigned_to, hn_rel, hn_diff, s1_bucket FROM rich"),
     "error_summary": sql([*RD, ERRORS, _rich], "SELECT country, " + ", ".join(f"count(*) FILTER (WHERE kind = '{k}') AS \"{k}\"" for k in ("TP", "FP", "FN_blocking", "FN_model")) + ", count(*) FILTER (WHERE kind IN ('FN_blocking', 'FN_model')) AS \"FN\" FROM rich GROUP BY country"),
     "ingest_checks": sql([RECORDS.split(",\nn1 AS")[0]], "SELECT count(*) AS rows, coalesce(sum((entity_id IS NULL)::INT + (name_raw IS NULL)::INT + (addr_raw IS NULL)::INT + (country IS NULL)::INT), 0)::BIGINT AS nulls, count(*) FILTER (WHERE contains(country, chr(13))) AS carriage_returns FROM raw"),
@@ -277,12 +282,31 @@ ORACLE_SQL: dict[str, str] = {
 }
 
 
-def ratio(a: str, b: str) -> str:
-    """SQL for the ratio of two columns of at most 120 characters: the longest common subsequence from one whole number's bits."""
+#: What carries of an adder look ahead by.
+POWERS = "[" + ", ".join(str(1 << i) for i in range(17)) + "]"
+
+
+def _long_lcs(a: str, b: str) -> str:
+    """SQL for the longest common subsequence of two columns of up to 131,072 characters, from strings of bits; they have no
+    sum, so its carries are looked ahead."""
+    zero = f"repeat('0', length({a}))::BIT"
+    masks = f"map_from_entries(list_transform(list_distinct(string_split({a}, '')), lambda zc: (zc, array_to_string(list_transform(string_split({a}, ''), lambda zx: CASE WHEN zx = zc THEN '1' ELSE '0' END), '')::BIT)))"
+    carry = "list_reduce(list_prepend({'g': zv & zm, 'p': zv & ~zm, 'k': 0}, list_transform(zw.k, lambda zi: {'g': NULL::BIT, 'p': NULL::BIT, 'k': zi::INT})), lambda zs, zx: {'g': zs.g | (zs.p & (zs.g >> zx.k)), 'p': zs.p & (zs.p >> zx.k), 'k': zx.k}).g"
+    steps = f"list_transform(string_split({b}, ''), lambda zd: coalesce(map_extract(zw.m, zd)[1], {zero}))"
+    left = f"bit_count(list_reduce(list_prepend(repeat('1', length({a}))::BIT, {steps}), lambda zv, zm: xor(zv & ~zm, ({carry}) >> 1) | (zv & ~zm)))"
+    return f"list_transform([{{'m': {masks}, 'k': list_filter({POWERS}, lambda zi: zi < length({a}))}}], lambda zw: length({a}) - {left})[1]"
+
+
+def _short_lcs(a: str, b: str) -> str:
+    """SQL for the longest common subsequence where a has 120 characters at most, from one whole number's bits."""
     ones = f"((1::HUGEINT << length({a})) - 1)"
     masks = f"list_transform(string_split({b}, ''), lambda zc: coalesce(list_sum(list_transform(range(length({a})), lambda zi: CASE WHEN substr({a}, (zi + 1)::INT, 1) = zc THEN 1::HUGEINT << zi::INT ELSE 0::HUGEINT END)), 0)::HUGEINT)"
-    left = f"bit_count(list_reduce(list_prepend({ones}, {masks}), lambda zs, zx: ((zs + (zs & zx)) | (zs - (zs & zx))) & {ones}))"
-    return f"CASE WHEN {a} = {b} THEN 1.0 WHEN {a} = '' OR {b} = '' THEN 0.0 ELSE 2.0 * (length({a}) - {left}) / (length({a}) + length({b})) END"
+    return f"length({a}) - bit_count(list_reduce(list_prepend({ones}, {masks}), lambda zs, zx: ((zs + (zs & zx)) | (zs - (zs & zx))) & {ones}))"
+
+
+def ratio(a: str, b: str) -> str:
+    common = f"CASE WHEN length({a}) <= 120 THEN {_short_lcs(a, b)} WHEN length({b}) <= 120 THEN {_short_lcs(b, a)} ELSE {_long_lcs(a, b)} END"
+    return f"CASE WHEN {a} = {b} THEN 1.0 WHEN {a} = '' OR {b} = '' THEN 0.0 ELSE 2.0 * ({common}) / (length({a}) + length({b})) END"
 
 
 def token_parts(name: str, source: str, columns: tuple[tuple[str, str, str], ...]) -> str:
@@ -317,11 +341,27 @@ _fuzzy = [
     "fv AS (SELECT country, entity_id, source, gram, tf * idf / sqrt(sum(tf * idf * tf * idf) OVER (PARTITION BY country, entity_id)) AS w FROM fg JOIN fi USING (country, gram))",
     "fh AS (SELECT q.country, q.entity_id AS cand_id, x.entity_id AS s1_id, round(sum(q.w * x.w), 9) AS score FROM fv q JOIN fv x ON x.country = q.country AND x.gram = q.gram WHERE q.source <> 1 AND x.source = 1 GROUP BY ALL)",
 ]
+#: Expected F0.5 of the first k of ps over all outcomes: distributions of true ones among the first k and among the rest.
+_counts = lambda ps: f"list_reduce(list_prepend([1.0::DOUBLE], list_transform({ps}, lambda zp: [zp])), lambda za, zp: list_transform(range(1, len(za) + 2), lambda zi: coalesce(za[zi], 0) * (1 - zp[1]) + CASE WHEN zi > 1 THEN za[zi - 1] * zp[1] ELSE 0 END))"
+_exact = _pick.replace("1.25 * list_sum(list_slice(ps, 1, k)) / (0.25 * list_sum(ps) + k) AS e", "list_sum(list_transform(range(1, len(a) + 1), lambda zt: a[zt] * list_sum(list_transform(range(1, len(b) + 1), lambda zr: b[zr] * 1.25 * (zt - 1) / (0.25 * (zt + zr - 2) + k))))) AS e").replace("FROM te),\ntd", f"FROM (SELECT *, {_counts('list_slice(ps, 1, k)')} AS a, {_counts('list_slice(ps, k + 1, len(ps))')} AS b FROM te)),\ntd").replace(" > 0 AS grows", " > 1e-12 AS grows")
+_renamed = lambda x: x.replace("tk AS", "uk AS").replace("FROM tk", "FROM uk").replace("te AS", "ue AS").replace("FROM te", "FROM ue").replace("tv AS", "uv AS").replace("FROM tv", "FROM uv").replace("td AS", "ud AS").replace("FROM td", "FROM ud").replace("ts AS", "us AS")
+_compare = f"""picked AS (SELECT 'threshold' AS method, s1_id, cand_id FROM matches UNION ALL SELECT 'ef05_approx', te.s1_id, te.c[te.k] FROM te JOIN ts USING (s1_id) WHERE te.k <= ts.n UNION ALL SELECT 'ef05_exact', ue.s1_id, ue.c[ue.k] FROM ue JOIN us USING (s1_id) WHERE ue.k <= us.n),
+ms AS (SELECT unnest(['threshold', 'ef05_approx', 'ef05_exact']) AS method),
+pf AS (SELECT method, s1_id, country, n_pred, CASE WHEN n_pred = 0 AND n_gt = 0 THEN 1.0 WHEN tp = 0 THEN 0.0 ELSE 1.25 * (tp / n_pred) * (tp / n_gt) / (0.25 * (tp / n_pred) + tp / n_gt) END AS f, CASE WHEN n_gt = 0 THEN 'singleton' ELSE 'latin' END AS script FROM
+ (SELECT ms.method, s1.s1_id, country, coalesce(x.n, 0) AS n_pred, coalesce(n_gt, 0) AS n_gt, coalesce(x.tp, 0) AS tp FROM ms, s1 LEFT JOIN (SELECT p.method, p.s1_id, count(*) AS n, count(t.match_id) AS tp FROM picked p LEFT JOIN truth t ON t.s1_id = p.s1_id AND t.match_id = p.cand_id GROUP BY p.method, p.s1_id) x ON x.method = ms.method AND x.s1_id = s1.s1_id LEFT JOIN ngt ON ngt.s1_id = s1.s1_id))"""
+_street_parts = token_parts("sp", "sd", (("t", "a_street", "b_street"),))
 ORACLE_SQL |= {
+    "select_ef05_exact": sql([*RD, _exact], "SELECT te.s1_id, te.c[te.k] AS cand_id, te.ps[te.k] AS p FROM te JOIN ts USING (s1_id) WHERE te.k <= ts.n"),
+    "compare_decide": sql([*RD, _pick, _renamed(_exact), _compare], "SELECT 'block_score' AS scorer, method, level, value, round(avg(f), 9) AS f05, sum(n_pred)::BIGINT AS pred_pairs FROM (SELECT *, unnest(['all', 'country', 'script']) AS level, unnest(['ALL', country, script]) AS value FROM pf) GROUP BY method, level, value"),
+    "error_worst": sql([*RD, ERRORS, _rich], "(SELECT 'false positives' AS kind, s1_id, cand_id, p FROM rich WHERE kind = 'FP' ORDER BY p DESC NULLS LAST, s1_id, cand_id LIMIT 50) UNION ALL (SELECT 'blocking misses', s1_id, cand_id, p FROM (SELECT * FROM rich WHERE kind = 'FN_blocking' ORDER BY md5(s1_id || '|' || cand_id || '|42'), s1_id, cand_id LIMIT (SELECT least(a, round_even(50 * a / greatest(a + b, 1), 0))::INT FROM (SELECT count(*) FILTER (WHERE kind = 'FN_blocking') AS a, count(*) FILTER (WHERE kind = 'FN_model') AS b FROM rich)))) UNION ALL (SELECT 'model misses', s1_id, cand_id, p FROM (SELECT * FROM rich WHERE kind = 'FN_model' ORDER BY p NULLS LAST, s1_id, cand_id LIMIT (SELECT 50 - least(a, round_even(50 * a / greatest(a + b, 1), 0))::INT FROM (SELECT count(*) FILTER (WHERE kind = 'FN_blocking') AS a, count(*) FILTER (WHERE kind = 'FN_model') AS b FROM rich))))"),
+    "feat_skeleton_ratio": sql(RS, f"SELECT s1_id, cand_id, round({ratio('a_skel', 'b_skel')}, 9) AS skel_ratio FROM sd"),
+    "feat_street_similarity": sql([*RS, _street_parts], f"SELECT s1_id, cand_id, round({ratio('a_street', 'b_street')}, 9) AS street_ratio, round({token_set('t')}, 9) AS street_tset, round({ratio(_sorted('a_street'), _sorted('b_street'))}, 9) AS street_tsort, CASE WHEN a_street = b_street THEN 1.0 WHEN a_street = '' OR b_street = '' THEN 0.0 ELSE round(jaro_winkler_similarity(a_street, b_street), 9) END AS street_jw FROM sp"),
+    "feat_interactions": sql([*RS, _idf_x.replace("{list}", _both), token_parts("tp", "sd", (("n", "a_name_core", "b_name_core"),)), f"so AS (SELECT s1_id, cand_id, {_sorted('a_name_core')} AS x, {_sorted('b_name_core')} AS y, {token_set('n')} AS t FROM tp)", _house()], f"SELECT s1_id, cand_id, round(t * x_mean, 8) AS name_sim_x_rarity, (({ratio('x', 'y')}) >= 0.9 AND hn_conflict = 1)::INT AS name_match_hn_conflict FROM so LEFT JOIN xs USING (s1_id, cand_id) JOIN hc USING (s1_id, cand_id)"),
+    "feat_structured": sql([*RS, _idf_x.replace("name_core", "addr_street").replace("{list}", _only("a_street", "b_street")), _idf_x.replace("name_core", "addr_street").replace("{list}", _only("b_street", "a_street")).replace("xi0", "yi0").replace("xi ", "yi ").replace("xs ", "ys "), _house()], f"SELECT sd.s1_id, sd.cand_id, len({_only('a_street', 'b_street')})::INT AS street_only_a, len({_only('b_street', 'a_street')})::INT AS street_only_b, coalesce(xs.x_sum, 0.0) AS street_extra_idf_a, coalesce(ys.x_sum, 0.0) AS street_extra_idf_b, (len({_only('a_street', 'b_street')}) + len({_only('b_street', 'a_street')}) = 1 AND len(list_filter({once('a_street')}, lambda t: list_contains({once('b_street')}, t))) > 0)::INT AS street_one_extra, (a_street = '')::INT + (b_street = '')::INT AS street_missing, hn_rel, hn_conflict, round(ln(1 + hn_diff), 9) AS hn_abs_diff_log, CASE WHEN a_legal = '' AND b_legal = '' THEN 2 WHEN a_legal = '' OR b_legal = '' THEN 1 WHEN a_legal = b_legal THEN 0 ELSE 3 END::INT AS legal_rel FROM sd LEFT JOIN xs USING (s1_id, cand_id) LEFT JOIN ys USING (s1_id, cand_id) JOIN hc ON hc.s1_id = sd.s1_id AND hc.cand_id = sd.cand_id"),
     "feat_ratio": sql(RS, f"SELECT s1_id, cand_id, round({ratio('a_name_core', 'b_name_core')}, 9) AS similarity FROM sd"),
     "feat_token_sort": sql([*RS, f"so AS (SELECT s1_id, cand_id, {_sorted('a_name_core')} AS x, {_sorted('b_name_core')} AS y FROM sd)"], f"SELECT s1_id, cand_id, round({ratio('x', 'y')}, 9) AS similarity FROM so"),
     "feat_token_set": sql([*RS, token_parts("tp", "sd", (("n", "a_name_core", "b_name_core"),))], f"SELECT s1_id, cand_id, round({token_set('n')}, 9) AS similarity FROM tp"),
     "rank_score": sql([*RM, *_rank], "SELECT s1_id, cand_id, rank_score FROM mr"),
     "candidates": sql([*RM, *_rank, f"mk AS (SELECT *, row_number() OVER (PARTITION BY cand_id {_order})::INT AS rank_in_cand FROM mr)"], f"SELECT s1_id, cand_id, country, block_mask, rank_in_cand, block_score, rank_score FROM mk WHERE rank_in_cand <= 2 QUALIFY row_number() OVER (PARTITION BY s1_id {_order}) <= 50"),
-    "block_fuzzy": sql([*R, *_fuzzy], "SELECT country, cand_id, s1_id, round(score, 6) AS score FROM fh WHERE score >= 0.5 QUALIFY row_number() OVER (PARTITION BY country, cand_id ORDER BY score DESC, s1_id) <= 20"),
+    "block_fuzzy": sql([*R, *_fuzzy], "SELECT country, cand_id, s1_id, round(score, 6) AS score FROM fh WHERE score >= 0.3 QUALIFY row_number() OVER (PARTITION BY country, cand_id ORDER BY score DESC, s1_id) <= 20"),
 }

@@ -71,7 +71,7 @@ def ingest(run: Run) -> None:
 
 @stage
 def normalize_(run: Run) -> None:
-    run.write(normalize.build_records(run.read("raw")), "records", by="country")
+    run.write(normalize.build_records(run.read("raw").drop("position")), "records", by="country")
 
 
 STAGES["normalize"] = STAGES.pop("normalize_")
@@ -175,8 +175,17 @@ STAGES["decide"] = STAGES.pop("decide_")
 def compare_decide(run: Run) -> None:
     run.train_only()
     groups = evaluate.s1_groups(run.read("records"), run.read("gt"))
-    methods = {"threshold": {"threshold": run.config.get("decide.threshold")}, "ef05_exact": {}, "ef05_approx": {}}
-    run.write(decide.compare({n: run.read(n) for n in ("scores", "scores_fallback")}, methods, run.read("gt"), groups), "compare")
+    options = _decide_options(run)
+    del options["method"]
+    known = {}
+    for name in ("scores", "scores_fallback"):
+        try:
+            known[name] = run.read(name)
+        except FileNotFoundError:
+            log.info("compare_decide: no %s", name)
+    if not known:
+        raise FileNotFoundError("no scores: run train or fallback_train first")
+    run.write(decide.compare(known, {m: options for m in decide.METHODS}, run.read("gt"), groups, run.read("candidates")), "compare")
 
 
 @stage
@@ -194,13 +203,25 @@ def errors(run: Run) -> None:
 
 @stage
 def submit(run: Run) -> None:
+    _write(run, run.read("matches"), run.read("candidates"))
+
+
+@stage
+def empty_submission(run: Run) -> None:
+    """A submission without a pair, which shows what records without matches are worth."""
+    none = run.spark.createDataFrame([], "s1_id string, cand_id string")
+    _write(run, none, none)
+
+
+def _write(run: Run, matches: DataFrame, candidates: DataFrame) -> None:
     out = Path(run.config.get("paths.out"))
     out.mkdir(parents=True, exist_ok=True)
     raw = run.read("raw")
-    # the order of the file that was read, partition by partition
-    ids = raw.filter("source = 1").select(F.col("entity_id").alias("s1_id")).withColumn("position", F.monotonically_increasing_id())
+    ids = raw.filter("source = 1").select(F.col("entity_id").alias("s1_id"), "position")
     valid = raw.filter("source <> 1").select(F.col("entity_id").alias("cand_id"))
-    log.info("written: %s", tsv.write_submission(run.read("matches"), run.read("candidates"), ids, valid, str(out)))
+    log.info("written: %s", tsv.write_submission(matches, candidates, ids, valid, str(out)))
+    if script := run.config.get("paths.validator", None):
+        tsv.validate(script, str(out), run.config.get("paths.raw"))
 
 
 def run(name: str, on: Run) -> None:

@@ -26,9 +26,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def raw_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents as records: a name is the whole first line."""
     d = table(spark, sf_dir, "documents")
     source = (F.col("doc_id") % 3 + 1).cast("int")
-    first = F.btrim(F.substring(F.split_part("text", F.lit("\n"), F.lit(1)), 1, 60))
+    first = F.btrim(F.split_part("text", F.lit("\n"), F.lit(1)))
     return d.select(F.concat(F.lit("S"), source, F.lit("-"), "doc_id").alias("entity_id"), source.alias("source"), F.col("lang").alias("country"), first.alias("name_raw"), F.concat_ws(" ", "n_chars", "source").alias("addr_raw"))
 
 

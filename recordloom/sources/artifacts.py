@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
+import functools
+import shutil
 import tempfile
 import uuid
 
@@ -9,9 +12,20 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """spark.checkpoint.dir, or a folder of our own where it is unset (tests)."""
+    """spark.checkpoint.dir, or a folder of our own where it is unset and all runs on one machine (tests)."""
     at = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    return (at or "file://" + tempfile.mkdtemp(prefix="recordloom-")).rstrip("/")
+    if not at:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
+        at = _own_dir()
+    return at.rstrip("/")
+
+
+@functools.cache
+def _own_dir() -> str:
+    at = tempfile.mkdtemp(prefix="recordloom-")
+    atexit.register(shutil.rmtree, at, ignore_errors=True)
+    return f"file://{at}"
 
 
 def saved(df: DataFrame, name: str) -> DataFrame:

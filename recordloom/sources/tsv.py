@@ -2,8 +2,14 @@
 
 from __future__ import annotations
 
+import csv
 import hashlib
+import os
+import subprocess
+import sys
+from collections.abc import Iterator
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -20,10 +26,45 @@ def read_tsv(spark: SparkSession, path: str, columns: tuple[str, ...] = RECORD_C
     return df.select(*(F.coalesce(c, F.lit("")).alias(c) for c in columns))
 
 
+def with_position(df: DataFrame) -> DataFrame:
+    """A frame read straight from files, with position: a string that sorts rows as they stand there, file after file by name.
+
+    A task may read its parts of files in any order, so a row's place is its file, its part's offset, and its place in the task.
+    """
+    places = ("_metadata.file_name", F.lpad(F.col("_metadata.file_block_start").cast("string"), 20, "0"), F.lpad(F.monotonically_increasing_id().cast("string"), 20, "0"))
+    return df.withColumn("position", F.concat_ws("|", *places))
+
+
 class InputError(ValueError):
     pass
 
 
+def second_reading(spark: SparkSession, path: str, columns: tuple[str, ...], every: int = 1000) -> tuple[int, DataFrame]:
+    """The rows of a file by another parser (Python's csv, line by line): their number, and a sample of about one in every rows,
+    by the hash of a line."""
+
+    def parsed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            rows = [next(csv.reader([line.rstrip("\r")], delimiter="\t"), [""]) for line in b.column(0).to_pylist()]
+            rows = [[*r, *[""] * len(columns)][: len(columns)] if len(r) <= len(columns) else [None] * len(columns) for r in rows]
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.string()) for c in zip(*rows)], names=list(columns)) if rows else pa.RecordBatch.from_pylist([], pa.schema([(c, pa.string()) for c in columns]))
+
+    header = "\t".join(columns)
+    lines = spark.read.text(path).filter(F.rtrim("value", F.lit("\r")) != header).filter("value <> ''")
+    sample = lines.filter(F.pmod(F.xxhash64("value"), F.lit(every)) == 0)
+    return lines.count(), sample.mapInArrow(parsed, ", ".join(f"`{c}` string" for c in columns))
+
+
+def check_readings(spark: SparkSession, path: str, df: DataFrame, every: int = 1000) -> None:
+    """Raises unless both parsers agree on the number of rows and on the sampled rows."""
+    columns = tuple(df.columns)
+    n, sample = second_reading(spark, path, columns, every)
+    if n != (own := df.count()):
+        raise InputError(f"{path}: {own} rows, {n} by the second reading")
+    if not (other := sample.join(df, list(columns), "left_anti")).isEmpty():
+        raise InputError(f"{path}: read in two ways: {other.first()}")
+
+
 def checks(df: DataFrame) -> DataFrame:
     """rows, nulls, and rows with a carriage return in the last column."""
     return df.agg(F.count("*").alias("rows"), F.coalesce(F.sum(sum((F.col(c).isNull().cast("int") for c in df.columns), F.lit(0))), F.lit(0)).alias("nulls"), F.count_if(F.contains(F.col(df.columns[-1]), F.lit("\r"))).alias("carriage_returns"))
@@ -39,15 +80,18 @@ def check_table(df: DataFrame, expected: int | None = None) -> int:
 
 
 def to_records(df: DataFrame, source: int) -> DataFrame:
-    return df.select("entity_id", F.lit(source).alias("source"), "country", F.col("business_name").alias("name_raw"), F.col("business_address").alias("addr_raw"))
+    return with_position(df).select("entity_id", F.lit(source).alias("source"), "country", F.col("business_name").alias("name_raw"), F.col("business_address").alias("addr_raw"), "position")
 
 
 def ingest(spark: SparkSession, folder: str, split: str, expected: dict[str, int] | None = None) -> tuple[DataFrame, DataFrame | None]:
-    """Raw records of the three sources, and for "train" the true pairs, whose S1 ids must be source 1's."""
+    """Raw records of the three sources with their position in the file, and for "train" the true pairs, whose S1 ids must be
+    source 1's."""
     records = None
     for s in (1, 2, 3):
-        df = read_tsv(spark, f"{folder}/{split}_source{s}.tsv")
+        path = f"{folder}/{split}_source{s}.tsv"
+        df = read_tsv(spark, path)
         check_table(df, (expected or {}).get(f"source{s}"))
+        check_readings(spark, path, df)
         part = to_records(df, s)
         records = part if records is None else records.unionByName(part)
     if split != "train":
@@ -115,6 +159,17 @@ def write_submission(matches: DataFrame, candidates: DataFrame, s1_ids: DataFram
     return {name: write_tsv(id_lists(df, s1_ids), f"{folder}/{name}.tsv", ("source1_entity_id", "matched_entity_ids"), "position") for name, df in (("matching", matches), ("candidates", candidates))}
 
 
+def validate(script: str, folder: str, inputs: str, passed: str = "PASS", ran: str = "valid S2/S3 match IDs") -> str:
+    """Runs a validator script on a written submission and returns what it says; raises unless it ends well, says passed, and
+    shows that it looked up the ids (ran), which such a script may leave out silently when files are missing."""
+    args = [sys.executable, script, "--matching", f"{folder}/matching.tsv", "--candidate", f"{folder}/candidates.tsv", "--test-dir", inputs, "--check-ids"]
+    done = subprocess.run(args, capture_output=True, encoding="utf-8", env=os.environ | {"PYTHONIOENCODING": "utf-8"})
+    said = done.stdout + done.stderr
+    if done.returncode or passed not in done.stdout or ran not in done.stdout:
+        raise SubmissionError(f"the validator did not pass it (exit {done.returncode}): {said}")
+    return said
+
+
 def markdown(rows: DataFrame, limit: int = 50) -> str:
     """The first rows as a table; cells are escaped."""
     cell = lambda v: "" if v is None else f"{v:.4f}" if isinstance(v, float) else str(v).replace("|", "\\|").replace("\n", " ")

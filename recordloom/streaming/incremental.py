@@ -6,23 +6,37 @@ from pyspark.sql import DataFrame
 from pyspark.sql.streaming.query import StreamingQuery
 
 from recordloom.operators import blocking, normalize
+from recordloom.sources.artifacts import saved
 
 
-def score_batch(batch: DataFrame, world: DataFrame, limits: blocking.Limits = blocking.Limits()) -> DataFrame:
-    """The ranked candidates of a batch of raw records. world: records of source 1 and the statistics' other sources. Statistics
-    come from the world alone, so a record's candidates don't depend on the batch it came in."""
-    index = blocking.Index(world, limits)
-    records = normalize.build_records(batch)
-    raw = index.passes(records)
-    both = world.filter("source = 1").unionByName(records.select(*world.columns))
-    return blocking.rank_per_cand(blocking.rank_scores(blocking.merge_passes(raw), both), limits.k_per_query, limits.min_score)
+class World:
+    """What batches are held against: records, and all statistics that decide a score, taken from the records once.
 
+    records: built records of source 1, and those of the other sources that the statistics should count. Area tokens come from
+    all of them, a pass's greatest score from the hits of the other sources' records; a pass or country without any has none,
+    and a hit there, or one beyond the greatest, counts 1.
+    """
 
-def start(stream: DataFrame, world: DataFrame, path: str, checkpoint: str, limits: blocking.Limits = blocking.Limits(), **trigger) -> StreamingQuery:
+    def __init__(self, records: DataFrame, limits: blocking.Limits = blocking.Limits()):
+        self.records = saved(records, "world")
+        self.index = blocking.Index(self.records, limits)
+        self.areas = saved(normalize.area_tokens(self.records), "world-areas")
+        self.most = saved(blocking.greatest_scores(self.index.passes()), "world-scores")
+
+    def candidates(self, batch: DataFrame) -> DataFrame:
+        """The ranked candidates of a batch of raw records. A record's candidates don't depend on the batch that it came in."""
+        limits = self.index.limits
+        new = saved(normalize.build_records(batch, areas=self.areas), "batch")
+        merged = blocking.merge_passes(self.index.passes(new), most=self.most)
+        both = self.records.filter("source = 1").unionByName(new.select(*self.records.columns))
+        return blocking.rank_per_cand(blocking.rank_scores(merged, both), limits.k_per_query, limits.min_score)
+
+
+def start(stream: DataFrame, world: World, path: str, checkpoint: str, **trigger) -> StreamingQuery:
     """Writes every batch's candidates under path/batch=N; a batch that is run again replaces what it wrote."""
 
     def write(batch: DataFrame, number: int) -> None:
-        score_batch(batch, world, limits).write.mode("overwrite").parquet(f"{path}/batch={number}")
+        world.candidates(batch).write.mode("overwrite").parquet(f"{path}/batch={number}")
 
     query = stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
     return (query.trigger(**trigger) if trigger else query).start()
