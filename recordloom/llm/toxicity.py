@@ -21,18 +21,20 @@ from recordloom.llm._common import slices
 
 WORD = re.compile(r"\w+")
 #: n-gram lengths, rows and width of the table, weight on the rows' squares, epochs, step size.
-NGRAMS, ROWS, WIDTH, DECAY, EPOCHS, STEP = (3, 4, 5, 6), 1 << 18, 8, 1e-6, 100, 0.05
+NGRAMS, ROWS, WIDTH, DECAY, EPOCHS, STEP = (3, 4, 5, 6, 7), 1 << 19, 8, 1e-6, 100, 0.05
 #: The labelled rows that a model is fitted on: all of them, or the so many with the least hash of their id.
 MAX_ROWS = 5000
 THRESHOLD = 0.7
 #: Words without meaning that every text has besides its own: a short text's few words then decide less.
-PAD = 5
+PAD = 100
 #: What the mean over words is multiplied by before the softmax: a few words in a hundred must be able to decide.
 SCALE = 100.0
 #: What a table row loses of its length in each epoch.
 SHRINK = 0.04
-#: Table rows that fewer texts of the sample touch stay zero: they would only be learned by heart.
-LEAST = 10
+#: How far the classes' weights in the loss go from equal for all rows (0) to equal sums for both classes (1).
+BALANCE = 0.5
+#: Parts of the sample that the scores are calibrated on, each by a model of the others.
+FOLDS = 2
 PRIME = np.uint64(1099511628211)
 
 
@@ -79,18 +81,57 @@ class Model:
             odds = np.bincount(of, self.odds[rows], len(new)) / np.bincount(of, minlength=len(new))
             self.known.update(zip(new, odds.tolist()))
 
-    def scores(self, texts: list[str | None]) -> list[float]:
-        """The probability of class 1; a text without words has that of the bias alone."""
+    def log_odds(self, texts: list[str | None]) -> np.ndarray:
         split = [tokens(t) for t in texts]
         self.learn([w for x in split for w in x])
-        odds = np.array([SCALE * sum(map(self.known.__getitem__, x)) / (len(x) + PAD) for x in split]) + float(self.bias[1] - self.bias[0])
+        return np.array([SCALE * sum(map(self.known.__getitem__, x)) / (len(x) + PAD) for x in split]) + float(self.bias[1] - self.bias[0])
+
+    def scores(self, texts: list[str | None]) -> list[float]:
+        """The probability of class 1; a text without words has that of the bias alone."""
+        odds = self.log_odds(texts)
         return (1 / (1 + np.exp(-np.clip(odds, -60, 60)))).tolist()
 
 
+def calibration(odds: np.ndarray, y: np.ndarray) -> tuple[float, float]:
+    """Platt's a, b of the log odds a * odds + b that fit labels best, by Newton's method on his smoothed targets. Rows of one
+    class only, or odds that don't rise with the labels, leave the odds as they are."""
+    n1 = int(y.sum())
+    if not 0 < n1 < len(y):
+        return 1.0, 0.0
+    target = np.where(y == 1, (n1 + 1) / (n1 + 2), 1 / (len(y) - n1 + 2))
+    x, at = np.stack([odds, np.ones(len(odds))], 1), np.array([1.0, 0.0])
+    loss = lambda w: float(np.sum(np.logaddexp(0, x @ w) - target * (x @ w)))
+    for _ in range(100):
+        p = 1 / (1 + np.exp(-np.clip(x @ at, -60, 60)))
+        step = np.linalg.solve((x * (p * (1 - p))[:, None]).T @ x + 1e-9 * np.eye(2), x.T @ (p - target))
+        scale = 1.0
+        while scale > 1e-6 and loss(at - scale * step) > loss(at):
+            scale /= 2
+        at = at - scale * step
+        if np.abs(scale * step).max() < 1e-9:
+            break
+    return (float(at[0]), float(at[1])) if at[0] > 0 else (1.0, 0.0)
+
+
+def fit_calibrated(texts: list[str | None], labels: list[int], folds: int = FOLDS) -> Model:
+    """fit() on all rows, its scores made probabilities by what models of the other folds say of each fold's rows: on the rows
+    that it was fitted on a model is surer than on any others."""
+    y, odds = np.array(labels, np.int64), np.zeros(len(texts))
+    of = np.arange(len(texts)) % folds
+    for k in range(folds if len(texts) >= folds else 0):
+        others, own = np.flatnonzero(of != k), np.flatnonzero(of == k)
+        odds[own] = fit([texts[i] for i in others], y[others].tolist()).log_odds([texts[i] for i in own])
+    a, b = calibration(odds, y)
+    model = fit(texts, labels)
+    model.odds *= np.float32(a)
+    model.bias = np.array([0, a * float(model.bias[1] - model.bias[0]) + b], np.float32)
+    return model
+
+
 def fit(texts: list[str | None], labels: list[int], seed: int = 5, epochs: int = EPOCHS) -> Model:
     """Full-batch Adam on the softmax's cross-entropy, for table and output together.
 
-    A table row's gradient is a number for each class times the output's columns, so what is scattered has two columns,
+    A table row's gradient is a number times the difference of the output's columns, so what is scattered is one number,
     whatever WIDTH is.
     """
     rng = np.random.default_rng(seed)
@@ -107,27 +148,19 @@ def fit(texts: list[str | None], labels: list[int], seed: int = 5, epochs: int =
         return Model(table * 0, output, bias)
     lengths, n = np.array(lengths), len(places)
     pair, counts = np.unique(np.repeat(np.arange(len(lengths)) * n, lengths) + np.frombuffer(words, np.int64), return_counts=True)
-    doc, word = pair // n, pair % n
-    share = SCALE * counts / (lengths[doc] + PAD)
-    texts_of = np.bincount(word, minlength=n)
-    different, seen = list(places), np.zeros(ROWS)
-    chunks = range(0, n, 50_000)  # all n-grams at once would take the memory of the driver
-    for i in chunks:
-        of, rows = subwords(different[i : i + 50_000])
-        seen += np.bincount(rows, texts_of[i + of], ROWS)
-    kept = []
-    for i in chunks:
-        of, rows = subwords(different[i : i + 50_000])
-        some = seen[rows] >= LEAST
-        kept.append((np.int32(i) + of[some].astype(np.int32), rows[some].astype(np.int32), (1 / np.bincount(of, minlength=1)[of][some]).astype(np.float32)))
-    of, rows, part = (np.concatenate(x) for x in zip(*kept))
-    del kept
-    used = np.flatnonzero(np.bincount(rows, minlength=ROWS))
-    number = np.zeros(ROWS, np.int32)
-    number[used] = np.arange(len(used))
-    rows = number[rows]
+    doc, word = (pair // n).astype(np.int32), (pair % n).astype(np.int32)
+    share = (SCALE * counts / (lengths[doc] + PAD)).astype(np.float32)
+    del pair, counts
+    different, grams, used = list(places), [], np.zeros(ROWS, bool)
+    for i in range(0, n, 20_000):  # the n-grams of so many words at once, each word's in a row: all would take the driver's memory
+        of, rows = subwords(different[i : i + 20_000])
+        size = np.bincount(of)
+        grams.append((rows[np.argsort(of, kind="stable")].astype(np.int32), np.concatenate([[0], np.cumsum(size)[:-1]]), size))
+        used[rows] = True
+    number = np.cumsum(used) - 1
+    grams = [(number[rows].astype(np.int32), starts, size) for rows, starts, size in grams]
     e, moments, steps = table[used], {}, 0
-    hot = np.eye(2)[y]
+    weight = ((len(y) / 2 / np.maximum(np.bincount(y, minlength=2), 1)) ** BALANCE)[y] / len(y)
 
     def adam(key: str, x: np.ndarray, g: np.ndarray) -> None:
         m, v = moments.setdefault(key, (np.zeros_like(x), np.zeros_like(x)))
@@ -136,18 +169,22 @@ def fit(texts: list[str | None], labels: list[int], seed: int = 5, epochs: int =
         x -= STEP * (m / (1 - 0.9**steps)) / (np.sqrt(v / (1 - 0.999**steps)) + 1e-8)
 
     for steps in range(1, epochs + 1):
-        z = e @ output
-        words = np.stack([np.bincount(of, z[rows, c] * part, n) for c in (0, 1)], 1)
-        logits = np.stack([np.bincount(doc, words[word, c] * share, len(y)) for c in (0, 1)], 1) + bias
-        p = np.exp(logits - logits.max(1, keepdims=True))
-        d = (p / p.sum(1, keepdims=True) - hot) / len(y)
-        back = np.stack([np.bincount(word, d[doc, c] * share, n) for c in (0, 1)], 1)
-        g = np.stack([np.bincount(rows, back[of, c] * part, len(used)) for c in (0, 1)], 1).astype(np.float32)
-        ge, go = g @ output.T + DECAY * e, e.T @ g
-        adam("e", e, ge)
+        apart = output[:, 1] - output[:, 0]  # of two classes, only the difference of the logits matters
+        z = e @ apart
+        words = np.concatenate([np.add.reduceat(z[rows], starts) / size for rows, starts, size in grams])
+        odds = np.bincount(doc, words[word] * share, len(y)) + float(bias[1] - bias[0])
+        d = (1 / (1 + np.exp(-np.clip(odds, -60, 60))) - y) * weight
+        back = np.bincount(word, d[doc] * share, n)
+        g, i = np.zeros(len(e)), 0
+        for rows, _, size in grams:
+            g += np.bincount(rows, np.repeat(back[i : i + len(size)] / size, size), len(e))
+            i += len(size)
+        g = g.astype(np.float32)
+        toward = e.T @ g
+        adam("o", output, np.stack([-toward, toward], 1))
+        adam("e", e, g[:, None] * apart + DECAY * e)
         e *= np.maximum(0, 1 - SHRINK / np.maximum(np.sqrt((e * e).sum(1, keepdims=True)), 1e-9))  # rows that gain little go to zero
-        adam("o", output, go.astype(np.float32))
-        adam("b", bias, d.sum(0).astype(np.float32))
+        adam("b", bias, np.array([-d.sum(), d.sum()], np.float32))
     table[:] = 0  # rows that no training word has carry nothing
     table[used] = e
     return Model(table, output, bias)
@@ -168,7 +205,7 @@ def trained(docs: DataFrame, labels: DataFrame, label: str = "toxic", max_rows:
     rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")  # at most max_rows rows of two numbers
     rows = rows.dropDuplicates(["doc_id"]) if max_rows else rows
     got = sorted(rows.select("doc_id", "_y", "text").collect(), key=lambda r: r["doc_id"])
-    return fit([r["text"] for r in got], [r["_y"] for r in got])
+    return fit_calibrated([r["text"] for r in got], [r["_y"] for r in got])
 
 
 @functools.lru_cache(2)
@@ -179,7 +216,8 @@ def _held(odds: bytes, bias: bytes) -> Model:
 
 
 def scored(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataFrame:
-    """doc_id, held_out, score, predicted of each row of docs. Only doc_id and text are read; null texts count as empty."""
+    """doc_id, held_out, score, predicted of each row of docs, repeated rows too. Only doc_id and text are read, so other columns
+    may have any name; null texts count as empty, and long ones are read whole."""
     sent = docs.sparkSession.sparkContext.broadcast((model.odds.tobytes(), model.bias.tobytes()))  # 4 * ROWS bytes
 
     def run(batches):
