@@ -33,6 +33,12 @@ def words(text: str | None) -> list[str]:
     return WORD.findall((text or "").lower())
 
 
+def span(item: np.ndarray, passage: np.ndarray) -> tuple[int, int]:
+    """Where in the passage the best alignment begins and ends: what ends best, read backwards, ends where it begins."""
+    end = align(item, passage)[1]
+    return end - align(item[::-1], passage[:end][::-1])[1], end
+
+
 def align(item: np.ndarray, passage: np.ndarray) -> tuple[float, int]:
     """The best local alignment's score, as a share of the item's own, and where in the passage it ends.
 
@@ -56,6 +62,10 @@ class Index:
     def __init__(self, items: list[tuple[int, str | None]]):
         self.number: dict[str, int] = {}
         split = [(i, words(t)) for i, t in items]
+        self.short = defaultdict(list)
+        for i, x in split:
+            if 0 < len(x) < MIN_WORDS:
+                self.short[tuple(x)].append(i)
         self.items = [(i, np.array([self.number.setdefault(w, len(self.number) + 1) for w in x], np.int64)) for i, x in split if len(x) >= MIN_WORDS]
         self.base = len(self.number) + 1
         places = defaultdict(list)
@@ -76,10 +86,6 @@ class Index:
             known &= x[k : n + k] > 0
         return np.where(known, out, -1)
 
-    def numbered(self, text: str | None) -> np.ndarray:
-        x = words(text)
-        return np.fromiter((self.number.get(w, 0) for w in x), np.int64, len(x))
-
     def found(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Where in x the block's n-grams stand, and which they are."""
         c = self.codes(x)
@@ -91,27 +97,27 @@ class Index:
         return at[hit], g[hit]
 
     def matches(self, text: str | None, threshold: float) -> list[tuple[int, float, int, int]]:
-        """item_id, score, and the aligned passage's window [from, to) in words, for each item that reaches the threshold."""
-        x = self.numbered(text)
+        """item_id, score, and the aligned passage [from, to) in words, for each item that reaches the threshold."""
+        whole = words(text)
+        x = np.fromiter((self.number.get(w, 0) for w in whole), np.int64, len(whole))
+        out = [(i, 1.0, 0, len(whole)) for i in self.short.get(tuple(whole), ())] if len(whole) < MIN_WORDS else []
         at, grams = self.found(x)
         starts = defaultdict(list)
         for p, g in zip(at.tolist(), grams.tolist()):
             for k, q in self.places[g]:
                 starts[k].append(p - q)
-        out = []
         for k, own in starts.items():
             i, item = self.items[k]
             slack, best = max(8, len(item) // 4), (0.0, 0, 0)
-            own = sorted(set(own))
-            while own:  # windows that touch are one
-                first = last = own.pop(0)
-                while own and own[0] <= last + len(item) + 2 * slack:
-                    last = own.pop(0)
+            own = np.unique(own)
+            cuts = np.flatnonzero(np.diff(own) > len(item) + 2 * slack) + 1  # windows that touch are one
+            for first, last in zip(own[np.concatenate([[0], cuts])].tolist(), own[np.concatenate([cuts - 1, [-1]])].tolist()):
                 a, z = max(0, first - slack), min(len(x), last + len(item) + slack)
-                score, _ = align(item, x[a:z])
-                best = max(best, (score, a, z))
+                best = max(best, (align(item, x[a:z])[0], a, z))
             if best[0] >= threshold:
-                out.append((i, *best))
+                score, a, z = best
+                first, last = span(item, x[a:z])
+                out.append((i, score, a + first, a + last))
         return sorted(out)
 
 
@@ -135,10 +141,13 @@ def _index(key: int, sent) -> Index:
 
 
 def matched(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """A row for each document row and item of which the document holds a copy: doc_id, item_id, score, first_word, last_word.
+    """A row for each document row and item of which the document holds a copy: doc_id, item_id, score, first_word, last_word
+    (the passage that is aligned, end exclusive).
 
-    Words are runs of letters and digits, lower-cased. Items of fewer than MIN_WORDS words say too little and match nothing;
-    null and empty texts match nothing. Items with equal texts each match. Repeated rows each give their rows.
+    Words are runs of letters and digits, lower-cased. Items of fewer than MIN_WORDS words say too little inside a text: they
+    match documents that have just their words. Items and texts without words match nothing. Items with equal texts each
+    match. Repeated rows each give their rows; long texts are read whole. Only doc_id and text are read. The benchmark has a
+    scan of the documents for each block of BLOCK_WORDS words.
     """
     schema, out = "doc_id long, item_id long, score double, first_word long, last_word long", None
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
