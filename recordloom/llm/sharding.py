@@ -16,8 +16,8 @@ from pyspark.sql import functions as F
 
 from recordloom.llm._common import ranked, text_bytes
 
-#: Steps of an octave for numbers, and bytes of a string (after what all its values have in common) that count.
-OCTAVE, BYTES = 64, 2
+#: Steps of an octave for numbers; the most different strings that the driver counts one by one.
+OCTAVE, MAX_VALUES = 64, 4096
 
 
 def curve_index(cells: Sequence[np.ndarray], bits: int) -> np.ndarray:
@@ -46,19 +46,25 @@ def curve_index(cells: Sequence[np.ndarray], bits: int) -> np.ndarray:
     return out
 
 
-def _slots(docs: DataFrame, dims: Sequence[str]) -> list[Column]:
+def _cuts(docs: DataFrame, d: str, n: int) -> list[str]:
+    """At most n - 1 strings that cut the whole values of d into parts of about equal row counts, in byte order: exact where
+    there are few different ones, else where a range partitioning cuts them. The driver gets MAX_VALUES + 1 rows at most."""
+    values = docs.select(F.col(d).alias("v")).filter("v IS NOT NULL").groupBy("v").count()
+    own = values.limit(MAX_VALUES + 1).collect()
+    if len(own) > MAX_VALUES:
+        parts = values.select("v").repartitionByRange(n, "v").groupBy(F.spark_partition_id()).agg(F.min("v").alias("v"))
+        return sorted((r["v"] for r in parts.collect()), key=str.encode)[1:]
+    own = sorted(((r["v"], r["count"]) for r in own), key=lambda x: x[0].encode())
+    at = np.cumsum([c for _, c in own])
+    return sorted({own[int(np.searchsorted(at, at[-1] * k / n, "right"))][0] for k in range(1, n)} if own else (), key=str.encode)
+
+
+def _slots(docs: DataFrame, dims: Sequence[str], bits: int) -> list[Column]:
     """For each dimension a column of few distinct whole numbers, in the order of the values; null: -1."""
-    kinds = dict(docs.dtypes)
-    texts = [d for d in dims if kinds[d] == "string"]
-    ends = docs.agg(*(f(F.col(d)).alias(f"{n}_{i}") for i, d in enumerate(texts) for n, f in (("lo", F.min), ("hi", F.max)))).first() if texts else None
-    out = []
+    kinds, out = dict(docs.dtypes), []
     for d in dims:
-        if d in texts:
-            i = texts.index(d)
-            lo, hi = ((ends[f"{n}_{i}"] or "").encode() for n in ("lo", "hi"))
-            same = next((k for k, (a, b) in enumerate(zip(lo, hi)) if a != b), min(len(lo), len(hi)))
-            raw = F.substring(F.encode(F.col(d), "UTF-8"), same + 1, BYTES)
-            slot = F.conv(F.rpad(F.hex(raw), 2 * BYTES, "0"), 16, 10).cast("long")
+        if kinds[d] == "string":
+            slot = F.when(F.col(d).isNotNull(), sum(((F.col(d) >= c).cast("long") for c in _cuts(docs, d, 1 << bits)), F.lit(0).cast("long")))
         else:
             v = F.col(d).cast("double")
             slot = (F.signum(v) * F.floor(F.log2(1 + F.abs(v)) * OCTAVE)).cast("long")
@@ -67,7 +73,7 @@ def _slots(docs: DataFrame, dims: Sequence[str]) -> list[Column]:
 
 
 def _bounds(slots: DataFrame, n_dims: int, bits: int) -> list[list[int]]:
-    """The slots at which cells 1, 2, ... begin. A dimension has at most 2**(8 * BYTES) slots, whatever the rows."""
+    """The slots at which cells 1, 2, ... begin. A string has 2**bits slots at most, a number OCTAVE for each power of two."""
     each = F.explode(F.array(*(F.struct(F.lit(i).alias("dim"), F.col(f"_s{i}").alias("slot")) for i in range(n_dims))))
     counts = slots.select(each.alias("e")).groupBy("e.dim", "e.slot").count().collect()
     out = []
@@ -83,10 +89,12 @@ def placed(docs: DataFrame, dims: Sequence[str] = ("lang", "source", "n_chars"),
     """A row of docs: doc_id, size, text_crc32, hilbert, shard, slot, and the columns in payload.
 
     Null texts have size 1 and the crc of an empty text, null metadata the first cell, null ids come first in their cell.
-    Repeated rows get a slot each. An empty table gives no rows. Only the named columns are read.
+    Repeated rows get a slot each, long texts one like all others. An empty table gives no rows. Only the named columns are
+    read.
     """
-    base = docs.select("doc_id", *(c for c in payload if c != "doc_id"), (text_bytes() + 1).alias("size"), F.crc32(F.encode(F.coalesce(F.col("text"), F.lit("")), "UTF-8")).alias("text_crc32"), *(c.alias(f"_s{i}") for i, c in enumerate(_slots(docs, dims))))
-    bounds = _bounds(docs.select(*(c.alias(f"_s{i}") for i, c in enumerate(_slots(docs, dims)))), len(dims), bits)
+    cells_of = [c.alias(f"_s{i}") for i, c in enumerate(_slots(docs, dims, bits))]
+    base = docs.select("doc_id", *(c for c in payload if c != "doc_id"), (text_bytes() + 1).alias("size"), F.crc32(F.encode(F.coalesce(F.col("text"), F.lit("")), "UTF-8")).alias("text_crc32"), *cells_of)
+    bounds = _bounds(docs.select(*cells_of), len(dims), bits)
 
     def index(cells: pd.DataFrame) -> pd.Series:
         return pd.Series(curve_index([np.searchsorted(b, cells[c].to_numpy(), "right") for b, c in zip(bounds, cells)], bits))
