@@ -1,7 +1,8 @@
 """Near-duplicates by improved consistent weighted sampling (Ioffe, ICDM 2010) over TF-IDF shingles.
 
 A text's shingles are its runs of five words; a shingle weighs its count times the mean idf of its words. Document
-frequencies of words are counted over all documents, in DF_ROWS hashed rows, so the table has one size at every scale.
+frequencies of words are counted exactly over all documents; a word in fewer than one document of RARE counts as one in so
+many, so the table holds RARE words for each different word of a mean text at most, at every scale.
 SAMPLES consistent samples make BANDS bands. Of the texts that share a band one is the centre, and the others are compared
 with it by the exact weighted Jaccard similarity; connected components of the links are classes.
 
@@ -15,6 +16,7 @@ differs stays rare and heavy, and near copies of a text with thousands of them w
 from __future__ import annotations
 
 import functools
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -27,8 +29,9 @@ from recordloom.llm._common import ranked, saved, slices, words_of
 SHINGLE, THRESHOLD = 5, 0.8
 BANDS, WIDTH = 16, 4
 SAMPLES = BANDS * WIDTH
-DF_ROWS, ORDER_ROWS = 1 << 16, 1 << 17
-#: Rows of random numbers for the sampling; a shingle's hash chooses its row.
+RARE, ORDER_ROWS = 4096, 1 << 17
+#: Rows of random numbers for the sampling. Three numbers make a sample, and different bits of a shingle's hash choose the row
+#: of each, so that shingles have RANDOM_ROWS ** 3 different samples.
 RANDOM_ROWS = 1 << 14
 ODD = np.uint64(0x9E3779B97F4A7C15)
 
@@ -55,7 +58,20 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return (x ^ (x >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
 
 
-def weighted(text: str | None, idf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+class Idf:
+    """Ascending hashes of common words with their idf, and that of all other words."""
+
+    def __init__(self, words: np.ndarray, idf: np.ndarray, others: float):
+        self.words, self.idf, self.others = words, idf, others
+
+    def of(self, h: np.ndarray) -> np.ndarray:
+        if not len(self.words):
+            return np.full(len(h), self.others)
+        at = np.minimum(np.searchsorted(self.words, h), len(self.words) - 1)
+        return np.where(self.words[at] == h, self.idf[at], self.others)
+
+
+def weighted(text: str | None, idf: Idf) -> tuple[np.ndarray, np.ndarray]:
     """The shingles of a text, in ascending order of their hashes, and their weights. A text of fewer words is one shingle."""
     h = hashes(text)
     n = len(h) - SHINGLE + 1
@@ -64,7 +80,7 @@ def weighted(text: str | None, idf: np.ndarray) -> tuple[np.ndarray, np.ndarray]
             return h, np.empty(0)
         h = np.concatenate([h, np.zeros(SHINGLE - len(h), np.uint64)])
         n = 1
-    own = idf[(h & np.uint64(DF_ROWS - 1)).astype(np.int64)]
+    own = idf.of(h)
     s, w = np.zeros(n, np.uint64), np.zeros(n)
     for k in range(SHINGLE):
         s = s * ODD + h[k : n + k]
@@ -102,10 +118,10 @@ def bands(shingles: np.ndarray, weights: np.ndarray) -> np.ndarray:
     columns = np.arange(SAMPLES)
     for i in range(0, len(shingles), 1024):
         s = shingles[i : i + 1024]
-        row = (s >> np.uint64(40)).astype(np.int64) & (RANDOM_ROWS - 1)
-        shift = beta[row]
-        t = np.floor(np.log(weights[i : i + 1024]).astype(np.float32)[:, None] * inverse[row] + shift)
-        a = log_c[row] - r[row] * (t - shift + 1)
+        one, two, three = ((s >> np.uint64(k)).astype(np.int64) & (RANDOM_ROWS - 1) for k in (50, 36, 22))
+        shift = beta[two]
+        t = np.floor(np.log(weights[i : i + 1024]).astype(np.float32)[:, None] * inverse[one] + shift)
+        a = log_c[three] - r[one] * (t - shift + 1)
         k = a.argmin(0)
         lower = a[k, columns] < least
         least[lower], shingle[lower], level[lower] = a[k, columns][lower], s[k][lower], t[k, columns][lower]
@@ -116,22 +132,32 @@ def bands(shingles: np.ndarray, weights: np.ndarray) -> np.ndarray:
     return keys.view(np.int64)
 
 
-def word_idf(docs: DataFrame) -> np.ndarray:
-    """1 + ln((1 + documents) / (1 + documents with a word of the row)), for DF_ROWS hashed rows."""
+def word_idf(docs: DataFrame) -> Idf:
+    """1 + ln((1 + documents) / (1 + documents with the word)), with documents / RARE as the least count of a word.
+
+    Every task counts its own words before the shuffle. The driver gets the words in one document of RARE or more: as each
+    document counts for its different words alone, RARE times their mean number at most.
+    """
 
     def counted(batches):
-        counts = np.zeros(DF_ROWS + 1, np.int64)
+        counts: Counter[int] = Counter()
         for b in slices(batches):
-            for t in b.column("text").to_pylist():
-                counts[np.unique((hashes(t) & np.uint64(DF_ROWS - 1)).astype(np.int64))] += 1
-                counts[DF_ROWS] += 1
-        some = np.flatnonzero(counts)
-        yield pa.RecordBatch.from_arrays([pa.array(some, pa.int64()), pa.array(counts[some], pa.int64())], names=["row", "n"])
+            found = np.concatenate([np.empty(0, np.uint64), *(np.unique(hashes(t)) for t in b.column("text").to_pylist())])
+            counts.update(dict(zip(*(x.tolist() for x in np.unique(found.view(np.int64), return_counts=True)))))
+            if len(counts) > 500_000:
+                yield batch(counts)
+                counts.clear()
+        yield batch(counts)
+
+    def batch(counts):
+        return pa.RecordBatch.from_arrays([pa.array(list(counts), pa.int64()), pa.array(list(counts.values()), pa.int64())], names=["word", "n"])
 
-    df = np.zeros(DF_ROWS + 1)
-    got = docs.select("text").mapInArrow(counted, "row long, n long").groupBy("row").agg(F.sum("n").alias("n")).toPandas()  # DF_ROWS + 1 rows at most
-    df[got["row"].to_numpy()] = got["n"].to_numpy()
-    return 1 + np.log((1 + df[DF_ROWS]) / (1 + df[:DF_ROWS]))
+    documents = docs.count()
+    words = docs.select("text").mapInArrow(counted, "word long, n long").groupBy("word").agg(F.sum("n").alias("n"))
+    got = words.filter(F.col("n") * RARE > documents).toPandas()
+    keys, n = got["word"].to_numpy(np.int64).view(np.uint64), got["n"].to_numpy()
+    order = np.argsort(keys)
+    return Idf(keys[order], 1 + np.log((1 + documents) / (1 + n[order])), 1 + float(np.log((1 + documents) / (1 + documents / RARE))))
 
 
 def sketched(docs: DataFrame, idf) -> DataFrame:
@@ -277,7 +303,7 @@ def classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """
     spark = docs.sparkSession
     rows = _hashed(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"))
-    idf = spark.sparkContext.broadcast(word_idf(rows))  # DF_ROWS numbers
+    idf = spark.sparkContext.broadcast(word_idf(rows))  # RARE words for each of a mean text's at most
     sketches = saved(sketched(rows, idf), "sketches")
     texts = sketches.groupBy("x", "y").agg(F.min("doc_id").alias("doc_id"), F.count("*").alias("copies"), F.first("keys").alias("keys"))
     texts, _ = ranked(texts, ["x", "y"], "texts")
