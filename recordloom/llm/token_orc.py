@@ -51,7 +51,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int = 1) ->
 
 
 def read_tokens(spark: SparkSession, path: str) -> DataFrame:
-    """The rows, with the file of each (names ascend with the ids)."""
+    """The rows, with the file of each (the numbers in the names ascend with the ids)."""
     return spark.read.schema(SCHEMA).orc(path).withColumn("file", F.col("_metadata.file_name"))
 
 
@@ -73,7 +73,8 @@ def digest(spark: SparkSession, path: str) -> DataFrame:
     rows = read_tokens(spark, path).select("doc_id", "file", "pos", "ids").mapInArrow(summed, "doc_id long, file string, pos long, n_tokens long, ids_crc32 long")
     rows = saved(rows, "token-digest")
     before, starts = 0, []
-    for file, n in sorted(rows.groupBy("file").agg(F.sum("n_tokens")).collect()):  # a row for each file
+    number = lambda r: (int(r[0].split("-")[1]), r[0])  # noqa: E731  part-99999 comes before part-100000
+    for file, n in sorted(rows.groupBy("file").agg(F.sum("n_tokens")).collect(), key=number):  # a row for each file
         starts.append((file, before))
         before += n
     offsets = spark.createDataFrame(starts, "file string, _start long")
