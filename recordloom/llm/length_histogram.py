@@ -33,7 +33,8 @@ def histogram(docs: DataFrame, tokenizer: str) -> DataFrame:
     their tokens); tokens_at_limit (what is left if texts are cut at n_tokens) and tokens_cut; docs_within and
     tokens_within (documents of that length at most); total_docs, total_tokens. An empty table gives no rows.
 
-    Suffix sums run in blocks of lengths, so no task holds more than BLOCK lengths of them or one row a block.
+    Repeated rows count as rows of their own, long texts are encoded whole, and only text is read, so other columns may have
+    any name. Suffix sums run in blocks of lengths, so no task holds more than BLOCK lengths of them or one row a block.
     """
     counts = saved(encoded_lengths(docs, tokenizer).groupBy("n_tokens").agg(F.count("*").alias("n_docs")), "lengths")
     counts = counts.withColumn("_block", F.expr(f"n_tokens div {BLOCK}"))

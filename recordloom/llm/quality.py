@@ -63,7 +63,8 @@ def measure(text: str | None) -> tuple[int, ...]:
 
 
 def ledger(docs: DataFrame) -> DataFrame:
-    """doc_id, the measurements, and failed: a long with bit i set where rule i fails. A row for each row of docs."""
+    """doc_id, the measurements, and failed: a long with bit i set where rule i fails. A row for each row of docs, repeated ones
+    too; long texts are measured whole. Only doc_id and text are read, so other columns may have any name."""
     rows = measured(docs.select("doc_id", "text"), [])
     return rows.select("doc_id", *MEASURES, failures().alias("failed"))
 
