@@ -280,6 +280,48 @@ def test_toxicity_learns_subwords(spark, docs_of, odd_rows, clashing):
     toxicity.trained(docs, labels.filter("false"))  # no labels
 
 
+def test_one_training_step_and_scores_equal_loops(monkeypatch):
+    monkeypatch.setattr(toxicity, "ROWS", 1 << 12)
+    texts, y = ["alpha beta beta gamma", "delta", None, "beta epsilon delta alpha", "gamma zeta"], [1, 0, 0, 1, 0]
+    rng = np.random.default_rng(5)
+    e = rng.uniform(-0.5, 0.5, (1 << 12, toxicity.WIDTH)).astype(np.float32) / toxicity.WIDTH
+    out = rng.normal(0, 0.5, (toxicity.WIDTH, 2)).astype(np.float32)
+    bias = np.log(np.bincount(y) / len(y))
+    apart, g, db, used, go = out[:, 1] - out[:, 0], np.zeros(len(e)), 0.0, set(), 0
+    for t, label in zip(texts, y):
+        words = toxicity.tokens(t)
+        rows = [toxicity.subwords([w])[1] for w in words]
+        odds = toxicity.SCALE * sum(e[r].mean(0) @ apart for r in rows) / (len(words) + toxicity.PAD) + bias[1] - bias[0]
+        d = (1 / (1 + math.exp(-odds)) - label) * (len(y) / 2 / y.count(label)) ** toxicity.BALANCE / len(y)
+        db += d
+        for r in rows:
+            used.update(r.tolist())
+            np.add.at(g, r, d * toxicity.SCALE / (len(words) + toxicity.PAD) / len(r))
+    step = lambda x: toxicity.STEP * x / (np.abs(x) + 1e-8)
+    go = e.T @ g
+    after = e - step(g[:, None] * apart + toxicity.DECAY * e)
+    after *= np.maximum(0, 1 - toxicity.SHRINK / np.maximum(np.sqrt((after * after).sum(1, keepdims=True)), 1e-9))
+    out = out - step(np.stack([-go, go], 1))
+    bias = bias - step(np.array([-db, db]))
+    model = toxicity.fit(texts, y, epochs=1)
+    rows = sorted(used)
+    want = after[rows] @ (out[:, 1] - out[:, 0])
+    assert np.isclose(model.odds[rows], want, atol=1e-4).mean() > 0.99 and not np.delete(model.odds, rows).any()
+    assert model.bias[1] - model.bias[0] == pytest.approx(bias[1] - bias[0], abs=1e-5)
+    for t, got in zip([*texts, "never seen words"], model.scores([*texts, "never seen words"])):
+        words = toxicity.tokens(t)
+        odds = toxicity.SCALE * sum(float(model.odds[toxicity.subwords([w])[1]].mean()) for w in words) / (len(words) + toxicity.PAD) + float(model.bias[1] - model.bias[0])
+        assert got == pytest.approx(1 / (1 + math.exp(-odds)), abs=1e-6)
+
+
+def test_calibration_fits_a_known_line():
+    rng = np.random.default_rng(3)
+    x = rng.normal(0, 3, 40_000)
+    y = (rng.random(40_000) < 1 / (1 + np.exp(-(0.5 * x - 1)))).astype(int)
+    assert toxicity.calibration(x, y) == pytest.approx((0.5, -1), abs=0.05)
+    assert toxicity.calibration(x, y * 0) == (1.0, 0.0) and toxicity.calibration(-x, y) == (1.0, 0.0)
+
+
 # mixing
 
 
@@ -295,6 +337,8 @@ def test_knapsack_is_exact():
         got = mixing.knapsack(lengths, counts, budget)
         assert all(0 <= g <= c for g, c in zip(got, counts))
         assert sum(n * g for n, g in zip(lengths, got)) == max(s for s in sums if s <= budget)
+        near = sum(n * g for n, g in zip(lengths, mixing.knapsack(lengths, counts, budget, 15)))
+        assert abs(near - budget) == min(abs(s - budget) for s in sums if s <= budget + 15)
 
 
 def test_targets_pour_over():
