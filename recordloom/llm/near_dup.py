@@ -21,7 +21,7 @@ from collections import Counter
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from recordloom.llm._common import ranked, saved, slices, words_of
@@ -30,6 +30,8 @@ SHINGLE, THRESHOLD = 5, 0.8
 BANDS, WIDTH = 16, 4
 SAMPLES = BANDS * WIDTH
 RARE, ORDER_ROWS = 4096, 1 << 17
+#: Parts that the rows of a band are dealt to, one for each bit of a long.
+SALTS = 64
 #: Rows of random numbers for the sampling. Three numbers make a sample, and different bits of a shingle's hash choose the row
 #: of each, so that shingles have RANDOM_ROWS ** 3 different samples.
 RANDOM_ROWS = 1 << 14
@@ -193,6 +195,19 @@ def compared(pairs: DataFrame, texts: DataFrame, idf) -> DataFrame:
     return sides.mapInArrow(run, "a long, b long, j double").distinct()
 
 
+def with_totals(rows: DataFrame, *totals: Column, where: str = "true") -> DataFrame:
+    """rows (key, node, ...) with totals over all rows of their key; rows of keys whose totals fail where go.
+
+    Totals are aggregated before they are shuffled, and each key's are joined with its rows in up to SALTS parts by node, so
+    that the band of a large group of copies is dealt to as many tasks. A bit for each part that has rows keeps the totals'
+    side no larger than the rows'.
+    """
+    rows = rows.withColumn("_salt", F.pmod("node", F.lit(SALTS)).cast("int"))
+    found = rows.groupBy("key").agg(*totals, F.expr("bit_or(shiftleft(1L, _salt))").alias("_salts")).filter(where)
+    parts = found.withColumn("_salt", F.expr(f"explode(filter(sequence(0, {SALTS - 1}), i -> bit_get(_salts, i) = 1))")).drop("_salts")
+    return rows.join(parts, ["key", "_salt"]).drop("_salt")
+
+
 def linked(members: DataFrame, texts: DataFrame, idf, threshold: float) -> DataFrame:
     """a, b: links that hold together all that links between texts of a band hold together. members: key, node.
 
@@ -200,17 +215,15 @@ def linked(members: DataFrame, texts: DataFrame, idf, threshold: float) -> DataF
     all their common bands, and so one comparison links each of them. Bands that then are of one class are done. Texts of the
     others are joined exactly, by prefixes.
     """
-    sizes = members.groupBy("key").agg(F.count("*").alias("_n"))
-    crowd = members.join(sizes, "key").groupBy("node").agg(F.sum("_n").alias("crowd"))
+    crowd = with_totals(members, F.count("*").alias("_n")).groupBy("node").agg(F.sum("_n").alias("crowd"))
     rows = saved(members.join(crowd, "node"), "crowded")
-    centres = rows.groupBy("key").agg(F.max_by("node", F.struct("crowd", "node")).alias("c"))
-    stars = rows.join(centres, "key").filter("node <> c")
+    stars = with_totals(rows, F.max_by("node", F.struct("crowd", "node")).alias("c")).filter("node <> c")
     pairs = stars.select(F.greatest("node", "c").alias("a"), F.least("node", "c").alias("b")).distinct()
     tested = saved(compared(pairs, texts, idf), "compared")
     links = tested.filter(F.col("j") >= threshold).select("a", "b")
     rows = members.join(components(links), "node", "left").withColumn("root", F.coalesce("root", "node"))
-    several = rows.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo < hi").select("key")
-    open_nodes = saved(rows.join(several, "key", "left_semi").select("node", "root").distinct(), "open")
+    several = with_totals(rows, F.min("root").alias("lo"), F.max("root").alias("hi"), where="lo < hi")
+    open_nodes = saved(several.select("node", "root").distinct(), "open")
     pairs = across(open_nodes, texts, idf, threshold).join(tested, ["a", "b"], "left_anti")
     found = saved(compared(pairs, texts, idf), "compared").filter(F.col("j") >= threshold)
     return links.unionAll(found.select("a", "b"))
@@ -309,8 +322,8 @@ def classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     texts, _ = ranked(texts, ["x", "y"], "texts")
     texts = texts.withColumnRenamed("rank", "node")
     keys = texts.select("node", F.explode("keys").alias("key"))
-    several = keys.groupBy("key").agg(F.min("node").alias("_a"), F.max("node").alias("_z")).filter("_a < _z").select("key")
-    members = saved(keys.join(several, "key", "left_semi"), "members")
+    several = with_totals(keys, F.min("node").alias("_a"), F.max("node").alias("_z"), where="_a < _z")
+    members = saved(several.select("node", "key"), "members")
     wanted = texts.join(members.select("node").distinct(), "node").select("x", "y", "node", F.col("doc_id").alias("_d"))
     whole = rows.join(wanted, ["x", "y"]).filter(F.col("doc_id").eqNullSafe(F.col("_d"))).select("node", "text")
     whole = saved(whole.dropDuplicates(["node"]), "candidates")
