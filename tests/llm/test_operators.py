@@ -234,6 +234,16 @@ def test_samples_estimate_weighted_jaccard():
     assert abs(np.mean(same) - np.mean(want)) < 0.03
 
 
+def test_totals_of_a_hot_band(spark):
+    from pyspark.sql import functions as F
+
+    rows = [(1, n) for n in range(5000)] + [(k, n) for k in range(2, 40) for n in range(k % 3 + 1)] + [(-7, 63), (-7, 127)]
+    want = {k: (len(own), min(own), max(own)) for k in {k for k, _ in rows} for own in [[n for key, n in rows if key == k]]}
+    got = near_dup.with_totals(spark.createDataFrame(rows, "key long, node long"), F.count("*").alias("n"), F.min("node").alias("lo"), F.max("node").alias("hi"), where="lo < hi")
+    assert got.columns == ["key", "node", "n", "lo", "hi"]
+    assert sorted(map(tuple, got.collect())) == sorted((k, n, *want[k]) for k, n in rows if want[k][0] > 1)
+
+
 def test_components(spark):
     rng = random.Random(1)
     edges = [(i, i + 1) for i in range(40)] + [(rng.randint(100, 160), rng.randint(100, 160)) for _ in range(40)] + [(500, k) for k in range(501, 560)]
