@@ -118,12 +118,17 @@ def bands(shingles: np.ndarray, weights: np.ndarray) -> np.ndarray:
     r, inverse, beta, log_c = _random()
     least, shingle, level = np.full(SAMPLES, np.inf, np.float32), np.zeros(SAMPLES, np.uint64), np.zeros(SAMPLES, np.int64)
     columns = np.arange(SAMPLES)
-    for i in range(0, len(shingles), 1024):
-        s = shingles[i : i + 1024]
+    for i in range(0, len(shingles), 512):  # arrays of a slice stay in a core's cache, and are written in place
+        s = shingles[i : i + 512]
         one, two, three = ((s >> np.uint64(k)).astype(np.int64) & (RANDOM_ROWS - 1) for k in (50, 36, 22))
-        shift = beta[two]
-        t = np.floor(np.log(weights[i : i + 1024]).astype(np.float32)[:, None] * inverse[one] + shift)
-        a = log_c[three] - r[one] * (t - shift + 1)
+        shift, t, a = beta.take(two, 0), inverse.take(one, 0), log_c.take(three, 0)
+        t *= np.log(weights[i : i + 512]).astype(np.float32)[:, None]
+        t += shift
+        np.floor(t, out=t)
+        np.subtract(t, shift, out=shift)
+        shift += np.float32(1)
+        shift *= r.take(one, 0)
+        a -= shift
         k = a.argmin(0)
         lower = a[k, columns] < least
         least[lower], shingle[lower], level[lower] = a[k, columns][lower], s[k][lower], t[k, columns][lower]
