@@ -34,7 +34,7 @@ class Block:
         coded = words.dictionary_encode()
         self.vocabulary, codes = coded.dictionary, coded.indices.to_numpy()
         df = np.bincount(codes, minlength=len(self.vocabulary))
-        self.rows = np.repeat(np.arange(n), self.sizes)[np.argsort(codes, kind="stable")]
+        self.rows = np.repeat(np.arange(n, dtype=np.int32), self.sizes)[np.argsort(codes, kind="stable")]
         self.starts = np.concatenate([[0], np.cumsum(df)]).tolist()
         common = np.argsort(-df, kind="stable")[:BITS]
         common = common[df[common] * COMMON > n]
